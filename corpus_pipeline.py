@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terravane.llm import bpe, decontaminate, neardup, pii, quality
 from terravane.llm.jobs import read_table, stored
 
-STAGES: list = []
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the texts that came through."""
+    return bpe.round_trip(docs)
+
+
+STAGES = [
+    ("quality_rules", quality.stage),
+    ("near_dedup", neardup.stage),
+    ("decontamination", decontaminate.stage),
+    ("personal_data", pii.stage),
+    ("byte_level_bpe", encode),
+]
 #: Learnt verdicts and a vocabulary are not SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 

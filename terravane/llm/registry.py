@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from terravane.llm import bpe, neardup
+from terravane.llm import bpe, decontaminate, neardup, pii, quality, toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": toxicity.op1_toxicity,
+        "op2_benchmark_decontamination": decontaminate.op2_benchmark_decontamination,
+        "op4_pii": pii.op4_pii,
+        "op7_quality_rules": quality.op7_quality_rules,
         "op9_byte_level_bpe": bpe.op9_byte_level_bpe,
         "op10_minhash_near_dedup": neardup.op10_minhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_benchmark_decontamination": decontaminate.ORACLE}
