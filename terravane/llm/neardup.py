@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from terravane.llm import textarrays as ta
 from terravane.llm.components import components
 from terravane.llm.dartminhash import signatures
-from terravane.llm.jobs import read_table, runs, stored
+from terravane.llm.jobs import read_table, runs, stored, with_columns_of
 
 BANDS, BAND_ROWS = 24, 4
 K = BANDS * BAND_ROWS
@@ -156,16 +156,16 @@ def _tiles(hits):
     return run
 
 
-def _meet(groups: DataFrame, hits) -> DataFrame:
+def _meet(groups: DataFrame, data: DataFrame, hits) -> DataFrame:
     """Pairs of components, (a, b), that a hit between members of one group joins.
 
-    groups: group, node, comp, data. Members outside a group's largest component meet all its members; both sides are dealt to
-    tiles of about TILE by hashes, so no task holds a whole group.
+    groups: group, node, comp; data: node, data. Members outside a group's largest component meet all its members; both sides
+    are dealt to tiles of about TILE by hashes, so no task holds a whole group.
     """
     sizes = groups.groupBy("group", "comp").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("group").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
     largest = largest.where("n > most").withColumn("across", F.ceil(F.col("n") / TILE).cast("int")).withColumn("down", F.ceil((F.col("n") - F.col("most")) / TILE).cast("int"))
-    rows = groups.join(largest, "group")
+    rows = groups.join(largest, "group").join(data, "node")
     everyone = rows.withColumn("x", F.pmod(F.xxhash64("node"), "across")).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("down") - 1))).withColumn("minor", F.lit(False))
     minority = rows.where("comp <> main").withColumn("y", F.pmod(F.xxhash64("node", F.lit(1)), "down")).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("across") - 1))).withColumn("minor", F.lit(True))
     columns = [F.xxhash64("group", F.col("x").cast("long"), F.col("y").cast("long")).alias("tile"), "comp", "data", "minor"]
@@ -184,27 +184,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     sketch = stored(docs.mapInArrow(_sketch, "doc_id long, node binary, sig binary, bands array<long>"), "sketch")
     nodes = stored(sketch.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first(F.struct("sig", "bands")).alias("s")).select("node", "doc_id", "n_copies", "s.*"), "nodes")
 
-    rows = nodes.select("node", "doc_id", "sig", F.posexplode("bands").alias("band", "key")).select("node", "doc_id", "sig", F.xxhash64("band", "key").alias("group"))
-    leaders = rows.groupBy("group").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("group", "node")).alias("leader"), F.min_by("sig", F.xxhash64("group", "node")).alias("leader_sig")).where("n > 1")
-    buckets = stored(rows.join(leaders, "group").select("group", "node", "doc_id", "sig", "leader", "leader_sig"), "buckets")
+    # keys of all bands meet as two longs a row; nodes and signatures are fetched for shared buckets only
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("group")).withColumn("draw", F.xxhash64("group", "node"))
+    shared = rows.groupBy("group").agg(F.count("*").alias("n"), F.min("draw").alias("first")).where("n > 1").drop("n")
+    buckets = stored(rows.join(shared, "group").select("group", "node", (F.col("draw") == F.col("first")).alias("leads")), "buckets")
 
-    wanted = buckets.groupBy("node").agg(F.first("doc_id").alias("doc_id"))
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
     texts = docs.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node")
     sets = stored(texts.mapInArrow(_sets, "node binary, set binary").groupBy("node").agg(F.first("set").alias("set")), "sets")
 
-    agree = F.expr(f"size(filter(sequence(0, {K - 1}), i -> substring(sig, 2 * i + 1, 2) = substring(leader_sig, 2 * i + 1, 2)))")
-    stars = buckets.where("node <> leader").select("node", "leader", "sig", "leader_sig").dropDuplicates(["node", "leader"]).where(agree >= POSSIBLE * K)
-    pairs = stars.select(F.col("leader").alias("a"), F.col("node").alias("b")).join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    links = stored(pairs.select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a binary, b binary"), "links")
+    leaders = buckets.where("leads").select("group", F.col("node").alias("a"))
+    stars = buckets.where("not leads").select("group", F.col("node").alias("b")).join(leaders, "group").select("a", "b").where("a <> b").distinct()
+    stars = stars.join(nodes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b").join(nodes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+    agree = F.expr(f"size(filter(sequence(0, {K - 1}), i -> substring(sig_a, 2 * i + 1, 2) = substring(sig_b, 2 * i + 1, 2)))")
+    stars = stars.where(agree >= POSSIBLE * K).select("a", "b")
+    pairs = stars.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+    pairs = pairs.select("a", "b", "set_a", "set_b")
+    links = stored(pairs.mapInArrow(_verify, "a binary, b binary"), "links")
     comps = stored(components(links), "comps")
 
     known = comps.select("node", F.col("label").alias("comp"))
-    members = buckets.join(known, "node", "left").select("group", "node", F.coalesce("comp", "node").alias("comp"), F.col("sig").alias("data"))
-    possible = stored(_meet(members, signature_hits), "possible")
+    members = buckets.join(known, "node", "left").select("group", "node", F.coalesce("comp", "node").alias("comp"))
+    possible = stored(_meet(members, nodes.select("node", F.col("sig").alias("data")), signature_hits), "possible")
 
     clusters = components(possible).select(F.col("node").alias("comp"), F.xxhash64("label").alias("group"))
-    inside = sets.join(known, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"), F.col("set").alias("data")).join(clusters, "comp").select("group", "node", "comp", "data")
-    more = stored(_meet(inside, set_hits), "more")
+    inside = sets.join(known, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(clusters, "comp").select("group", "node", "comp")
+    more = stored(_meet(inside, sets.select("node", F.col("set").alias("data")), set_hits), "more")
 
     classes = components(links.union(comps.select("node", "label")).union(more)).select("node", "label")
     named = nodes.select("node", "doc_id", "n_copies").join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -220,3 +225,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document: its class of near copies."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each class, all columns as they are: the first by doc_id, then text; a text without words always stays."""
+    classes = stored(near_duplicates(docs).select("doc_id", "class_id"), "classes")
+    kept = classes.where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return with_columns_of(rows, docs)
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without near copies of documents that stay."""
+    return keep_one(docs)
