@@ -2,7 +2,8 @@
 
 Features of a text: how often it holds words of a lexicon (as written, and after letters disguised by digits, symbols, gaps
 within the word or repeats are restored), how near these stand to words of the second person, and its rates of capitals,
-punctuation, digits and disguise. The lexicon is learnt from the labelled sample: words that stand mostly in toxic documents.
+punctuation, digits and disguise. The lexicon is learnt from the labelled sample: words, and stems at the start of words, that
+stand in toxic documents far more often than chance allows.
 
 Fitting uses a bounded sample of labelled rows outside the held-out third. Trees are grown on histograms; two-fold scores of
 the sample calibrate by isotonic regression. Labels, lang, source and doc_id are never features.
@@ -28,8 +29,11 @@ from terravane.llm.labelled import in_held_out_third, labelled_sample
 #: Rows of the sample that the model is fitted on; most words of the lexicon.
 SAMPLE_ROWS = 6000
 LEXICON_ROWS = 512
-#: A word is in the lexicon from this share of toxic documents among those that hold it, and this share of all toxic ones.
-PURITY, SUPPORT = 0.6, 0.015
+#: A word or stem is in the lexicon if the toxic documents among those that hold it are this many standard deviations more
+#: than the rate of the sample gives, and this share of all toxic ones.
+DEVIATIONS, SUPPORT = 6, 0.01
+#: Lengths of stems in characters.
+STEMS = range(4, 9)
 TOXIC_AT = 0.7
 NEAR = 6
 
@@ -75,15 +79,40 @@ def _member(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lexicon:
+    """words; stems, each with its share of toxic documents."""
+
     words: list[bytes]
+    stems: dict[bytes, float]
 
     def __post_init__(self):
         self.plain = _hashes(self.words)
         self.restored = _hashes([s for s in map(_squeezed, self.words) if len(s) >= 3])
         self.second = _hashes([w.encode() for w in SECOND_PERSON])
+        self.lengths = sorted({len(s) for s in self.stems})
+        if self.stems:
+            # spans and whole words of the same bytes hash alike
+            hashes = ta.Words(list(self.stems)).hashes
+            order = np.argsort(hashes)
+            self.stem_hashes, self.stem_shares = hashes[order], np.array(list(self.stems.values()))[order]
+            self.heads = _hashes([s[: self.lengths[0]] for s in self.stems])
+
+    def stem_share(self, words: ta.Words) -> np.ndarray:
+        """For each word the largest share among the stems that it starts with, 0 without any."""
+        out = np.zeros(len(words.starts))
+        if not self.stems:
+            return out
+        size = words.ends - words.starts
+        some = np.flatnonzero(size >= self.lengths[0])
+        some = some[_member(words.hash_spans(words.starts[some], words.starts[some] + self.lengths[0]), self.heads)]
+        for n in self.lengths:
+            some = some[size[some] >= n]
+            h = words.hash_spans(words.starts[some], words.starts[some] + n)
+            at = np.minimum(np.searchsorted(self.stem_hashes, h), len(self.stem_hashes) - 1)
+            out[some] = np.maximum(out[some], np.where(self.stem_hashes[at] == h, self.stem_shares[at], 0))
+        return out
 
 
-FEATURES = ["hits", "hit_rate", "kinds", "restored_hits", "restored_rate", "hits_near_you", "you_rate", "capital_rate", "shouted_rate", "exclaim_rate", "question_rate", "punctuation_rate", "digit_rate", "disguise_rate", "stretched_rate"]
+FEATURES = ["hits", "hit_rate", "kinds", "restored_hits", "restored_rate", "hits_near_you", "you_rate", "capital_rate", "shouted_rate", "exclaim_rate", "question_rate", "punctuation_rate", "digit_rate", "disguise_rate", "stretched_rate", "stem_share", "stem_rate", "stem_kinds"]
 
 
 def features(parts: list[bytes], lexicon: Lexicon) -> np.ndarray:
@@ -118,6 +147,15 @@ def features(parts: list[bytes], lexicon: Lexicon) -> np.ndarray:
         i = np.searchsorted(you, at)
         for j in (np.maximum(i - 1, 0), np.minimum(i, len(you) - 1)):
             near[at] |= (np.abs(you[j] - at) <= NEAR) & (of[you[j]] == of[at])
+    share = lexicon.stem_share(words)
+    total = np.concatenate([[0.0], np.cumsum(share)])
+    stem_share = total[words.bounds[1:]] - total[words.bounds[:-1]]
+    stemmed = np.flatnonzero(share)
+    order = np.lexsort((words.hashes[stemmed], of[stemmed]))
+    stemmed = stemmed[order]
+    fresh = np.ones(len(stemmed), bool)
+    fresh[1:] = (of[stemmed[1:]] != of[stemmed[:-1]]) | (words.hashes[stemmed[1:]] != words.hashes[stemmed[:-1]])
+    stem_kinds = np.bincount(of[stemmed[fresh]], minlength=n)
     # the restoring view: white-space tokens with disguises replaced and repeats merged
     plain = PLAIN[ta.LOWER[data]]
     keep = plain != 0
@@ -146,6 +184,7 @@ def features(parts: list[bytes], lexicon: Lexicon) -> np.ndarray:
         [
             np.minimum(hits, 20), hits / n_words, np.minimum(kinds, 20), np.minimum(restored_hits, 20), restored_hits / n_words, np.minimum(per_text(near, words), 20), per_text(second, words) / n_words,
             rate(UPPER[data]) / np.maximum(letters, 1e-9), per_text(shouted, raw) / np.maximum(raw.counts(), 1), rate(data == 0x21), rate(data == 0x3F), rate(PUNCTUATION[data]), rate((data >= 0x30) & (data < 0x3A)), rate(inside), rate(same),
+            np.minimum(stem_share, 20), stem_share / n_words, np.minimum(stem_kinds, 20),
         ],
         axis=1,
     ).astype(np.float64)
@@ -252,14 +291,18 @@ def fit(x: np.ndarray, y: np.ndarray, lexicon: Lexicon) -> Model:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Words by their share of toxic documents; every distinct word of a document counts once."""
-    toxic = sample.where("label = 1").count()
+    """Words and stems by their share of toxic documents; every distinct one counts once for a document."""
+    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), 0)))
-    counted = sample.select("label", words.alias("word")).groupBy("word").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    chosen = counted.where((F.col("toxic") >= max(3, SUPPORT * toxic)) & (F.col("toxic") >= PURITY * F.col("n")) & (F.length("word") >= 3))
-    rows = chosen.orderBy(F.desc("toxic"), "word").limit(LEXICON_ROWS).collect()
-    return Lexicon([r.word.encode() for r in rows])
+    words = sample.select("doc_id", "label", F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))).alias("word"))
+    cut = F.filter(F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEMS]), lambda s: s.isNotNull())
+    terms = words.select("doc_id", "label", F.lit(False).alias("stem"), F.col("word").alias("term")).union(words.select("doc_id", "label", F.lit(True), F.explode(cut)).distinct())
+    counted = terms.groupBy("stem", "term").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+    rate = toxic / max(n, 1)
+    score = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
+    chosen = counted.where(F.col("toxic") >= max(3, SUPPORT * toxic)).withColumn("score", score).where((F.col("score") >= DEVIATIONS) & (F.length("term") >= 3))
+    found = {stem: chosen.where(F.col("stem") == stem).orderBy(F.desc("score"), "term").limit(LEXICON_ROWS).collect() for stem in (False, True)} if 0 < toxic < n else {False: [], True: []}
+    return Lexicon([r.term.encode() for r in found[False]], {r.term.encode(): r.toxic / r.n for r in found[True]})
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
