@@ -28,7 +28,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 def seeds(n: int, seed: int) -> np.ndarray:
     """n fixed 64-bit values that follow from seed."""
     with np.errstate(over="ignore"):
-        return mix(U64((seed * BASE) % (1 << 64)) + np.arange(1, n + 1, dtype=U64) * U64(BASE))
+        start = mix(np.array([(seed * BASE) % (1 << 64)], U64))[0]
+        return mix(start + np.arange(1, n + 1, dtype=U64) * U64(BASE))
 
 
 BYTE_VALUES = seeds(256, 7)
