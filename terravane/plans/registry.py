@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.functions import geo, text
-from terravane.operators import graph, measure, ownership, quality, spatial
+from terravane.operators import graph, measure, ownership, partition, quality, spatial, tiles
 from terravane.plans.views import oracle, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,10 +212,10 @@ def owner_components(spark, sf_dir):
     return graph.owner_components(owned(spark, sf_dir).select("province_id", "owner"), view(spark, sf_dir, "edges"))
 
 
-@query("SELECT province_id AS node FROM {provinces} WHERE province_id NOT IN (SELECT a FROM {edges} UNION ALL SELECT b FROM {edges})")
+@query("SELECT province_id AS node FROM {provinces} WHERE province_id NOT IN (SELECT a FROM {edges} WHERE weight > 6 UNION ALL SELECT b FROM {edges} WHERE weight > 6)")
 def isolated_provinces(spark, sf_dir):
     """Nodes without edges."""
-    return graph.isolated(view(spark, sf_dir, "provinces").select(F.col("province_id").alias("node")), view(spark, sf_dir, "edges"))
+    return graph.isolated(view(spark, sf_dir, "provinces").select(F.col("province_id").alias("node")), view(spark, sf_dir, "edges").where("weight > 6"))
 
 
 @query("SELECT node, row_number() OVER (ORDER BY node) - 1 AS idx FROM (SELECT DISTINCT o_custkey AS node FROM {orders})")
@@ -513,3 +513,36 @@ def adjacency_findings(spark, sf_dir):
     rows = edges.select("row", F.when(k == 0, F.lit(None).cast("string")).when(k == 1, F.col("b")).otherwise(F.col("a")).alias("from_province_id"), F.when(k == 2, F.lit("nowhere")).when(k == 3, F.col("a")).when(k == 1, F.col("a")).otherwise(F.col("b")).alias("to_province_id"), F.when(k == 4, "sea").otherwise("land").alias("adjacency_type"), F.when(k == 5, "false").otherwise("true").alias("bidirectional"), F.lit("shared_border").alias("crossing_type"), F.when(k == 6, "").when(k == 7, "0.0001").otherwise("12.5").alias("shared_border_km"), F.when(k == 8, "oops").otherwise('["x"]').alias("source_lineage"))
     found = quality.adjacency_rows(rows, view(spark, sf_dir, "provinces"), 0.001)
     return quality.ordered(found).select("code", "severity", F.to_json("affected").alias("affected"), "message", F.to_json("measurements").alias("measurements"))
+
+
+@query()
+def tile_archive(spark, sf_dir):
+    """Vector tiles of the grid, as runs of an archive's directory."""
+    return tiles.entries_of(tiles.encode_tiles(grid(spark, sf_dir).where("n % 3 = 0"), (3, 6), "provinces", ["n"]))
+
+
+@query(f"WITH w AS ({WIDE}) SELECT id, round((x2 - x1) * (y2 - y1) - coalesce((SELECT sum(greatest(least(s.x2, t.x2) - greatest(s.x1, t.x1), 0) * (s.y2 - s.y1)) FROM w t WHERE t.id < s.id AND t.y1 = s.y1), 0), 6) AS area FROM w s")
+def without_overlaps(spark, sf_dir):
+    """Each box less those of lower id."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    rows = view(spark, sf_dir, WIDE).select("id", F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2")).alias("ring"))
+    return partition.without_overlaps(rows, 1.0).select("id", F.round("area", 6).alias("area"))
+
+
+HALVES = "SELECT id, x1 + 0.25E0 AS x1, y1 + 0.25E0 AS y1, x2 + 0.25E0 AS x2, y2 + 0.25E0 AS y2 FROM {boxes} WHERE n % 2 = 0"
+
+
+@query(f"WITH h AS ({HALVES}) SELECT b.id AS location, h.id AS reference, round((least(b.x2, h.x2) - greatest(b.x1, h.x1)) * (least(b.y2, h.y2) - greatest(b.y1, h.y1)), 6) AS area FROM {{boxes}} b JOIN h ON h.x1 < b.x2 AND b.x1 < h.x2 AND h.y1 < b.y2 AND b.y1 < h.y2")
+def ordered_claims(spark, sf_dir):
+    """References take their part of locations in turn."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    rows = view(spark, sf_dir, HALVES).select("id", F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2")).alias("ring"))
+    return partition.ordered_claims(grid(spark, sf_dir).select("id", "ring"), rows, 1.0).select("location", "reference", F.round("area", 6).alias("area"))
+
+
+@query()
+def refined_parents(spark, sf_dir):
+    """Boxes split by seeds, people conserved."""
+    parents = grid(spark, sf_dir).where("n <= 60").select("id", "ring", (1 + F.col("n") % 5).cast("int").alias("parts"), F.col("n").cast("double").alias("population"))
+    points = grid(spark, sf_dir).where("n <= 60 and n % 4 <> 0").select("id", (F.col("ring")[0]["x"] + 0.1).alias("x"), (F.col("ring")[0]["y"] + 0.3).alias("y"), F.col("n").cast("double").alias("weight"), F.lit("settlement").alias("kind"), F.col("id").alias("point_id"))
+    return partition.refine(parents, points).select("parent", "part", F.round("area", 9).alias("area"), F.round("population", 6).alias("population"))
