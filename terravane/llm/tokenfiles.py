@@ -6,8 +6,10 @@ of the file) and NAME.docs (64-bit doc_ids). A manifest table names the files of
 counts; a file left by a lost task is in no manifest. Prefix sums over the manifest give each file's base in the whole.
 
 A text is encoded by the library in pieces: no pre-token spans the step from a character that isn't white space to a space or line
-feed, so pieces cut there encode alone as they do in place, and repeated pieces come from a bounded cache. A text with
-other white space is encoded in one piece.
+feed, or from a letter to an ASCII character that is none, so pieces cut there encode alone as they do in place, and repeated
+pieces come from a bounded cache. New pieces are
+encoded many to a string, for the same reason; the lengths of the tokens tell where each ends. A text with other white space
+is encoded in one piece.
 
 Edge cases: a null text is an empty one and has the end id alone. A null doc_id sorts first. Repeated doc_ids are documents of their own.
 """
@@ -38,12 +40,20 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Stands for a null doc_id in NAME.docs.
 NULL_ID = -(1 << 63)
-PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+#: Letters that an ASCII character or the end follows, or else all up to the next space or line feed.
+PIECE = re.compile(r"[ \n]*[A-Za-zà-öø-ÿÀ-ÖØ-Þ]++(?=[\x00-\x7F]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+#: Bytes of other ASCII white space, and first bytes of all other characters that are white space.
+SUSPECT = np.zeros(256, bool)
+SUSPECT[[*range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+SUSPECT[0x0A] = False
 
 
 class Encoder:
-    def __init__(self, path: str, cached: int = 400_000):
+    #: The cache has two generations of at most about `cached` pieces: when the young one is full it becomes the old one, and a
+    #: piece that is met again moves to the young one, so frequent pieces stay.
+
+    def __init__(self, path: str, cached: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -51,25 +61,60 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cached = cached
 
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.sizes[i] = len(token)  # a character of a token stands for a byte
+
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, pieces: list[str], group: int = 2048) -> list[bytes]:
+        """Ids of pieces that begin with white space and end with another character."""
+        out: list[bytes] = []
+        groups = [pieces[i : i + group] for i in range(0, len(pieces), group)]
+        for own, found in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, self.dtype)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in own]), side="right").tolist()
+            data, width = ids.tobytes(), self.dtype.itemsize
+            out += [data[a * width : b * width] for a, b in zip([0, *ends], ends)]
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of dtype."""
         if len(self.cache) > self.cached:
-            self.cache = {}
-        cut = [[t] if OTHER_SPACE.search(t) else PIECE.findall(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces}.difference(self.cache))
-        self.cache.update(zip(new, self._library(new)))
+            self.old, self.cache = self.cache, {}
+        odd = self._has_other_space(texts)
+        cut = [[t] if o else PIECE.findall(t) for t, o in zip(texts, odd)]
+        new = set().union(*cut).difference(self.cache)
+        if self.old:
+            met = new.intersection(self.old)
+            self.cache.update(zip(met, map(self.old.__getitem__, met)))
+            new -= met
+        inner = [p for p in new if p[0] in " \n" and p[-1] not in " \n" and len(p) <= 256]
+        rest = list(new.difference(inner))
+        if any(odd):
+            inner, rest = [], list(new)  # such texts may look like pieces
+        self.cache.update(zip(inner, self._pieces(inner)))
+        self.cache.update(zip(rest, self._library(rest)))
         get = self.cache.__getitem__
         out = [b"".join(map(get, pieces)) for pieces in cut]
-        for pieces in cut:  # whole texts aren't worth keeping
-            if len(pieces) == 1 and len(pieces[0]) > 256:
-                self.cache.pop(pieces[0], None)
+        for p in rest:  # whole texts aren't worth keeping
+            if len(p) > 256:
+                self.cache.pop(p, None)
         return out
 
+    @staticmethod
+    def _has_other_space(texts: list[str]) -> list[bool]:
+        """Which texts hold white space other than spaces and line feeds; only those with a byte that could be one are searched."""
+        data = np.frombuffer("\0".join(texts).encode(), np.uint8)
+        if not SUSPECT[data].any():
+            return [False] * len(texts)
+        return [OTHER_SPACE.search(t) is not None for t in texts]
+
 
 @functools.cache
 def encoder(path: str) -> Encoder:
