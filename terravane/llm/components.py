@@ -11,7 +11,7 @@ from terravane.llm.jobs import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -29,13 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.where("a is not null and b is not null")
     loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
+    mark = lambda df: df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
     edges = stored(_small_star(edges.where("a <> b")), "star")
+    last = mark(edges)
     while True:
-        grown = stored(_small_star(_large_star(edges)), "star")
-        mark = lambda df: df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        done = mark(grown) == mark(edges)
-        edges = grown
-        if done:
+        edges = stored(_small_star(_large_star(edges)), "star")
+        now = mark(edges)
+        if now == last:
             break
+        last = now
     named = edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")))
     return named.union(loops).groupBy("node").agg(F.min("label").alias("label"))
