@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from terravane.llm import bpe, decontaminate, neardup, pii, quality
-from terravane.llm.jobs import read_table, stored
+from terravane.llm.jobs import bounded_batches, read_table, stored
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the texts that came through."""
+    bounded_batches(spark)
     return bpe.round_trip(docs)
 
 

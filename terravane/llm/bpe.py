@@ -184,7 +184,7 @@ class Merger:
     #: Longest slices, in bytes, of each class that is merged at once; longer ones are merged one by one.
     WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40)
 
-    def __init__(self, path: str = RANKS, cached: int = 300_000):
+    def __init__(self, path: str = RANKS, cached: int = 200_000):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}

@@ -22,18 +22,39 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Most rows in an Arrow batch: documents and shingle sets take kilobytes each, and a batch stands in memory several times.
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Lets Spark drop the shuffle files of a query when it ends, not when the driver next collects garbage.
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, unless they are smaller already."""
+    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: lost executors cost no more than the running stage."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    spark = df.sparkSession
+    bounded_batches(spark)
+    path = new_path(spark, name)
+    before = spark.conf.get(CLEANUP_KEY, "false")
+    spark.conf.set(CLEANUP_KEY, "true")  # the table stands, so the shuffles that made it needn't
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_KEY, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

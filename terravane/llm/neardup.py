@@ -54,7 +54,7 @@ def fingerprints(words: ta.Words) -> list[bytes]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in ta.slices(batches):
+    for batch in ta.slices(batches, max_bytes=1 << 20):
         sets, words = shingle_sets(ta.pieces(batch.column(1)))
         sizes = np.array([len(s) for s in sets], np.int64)
         bounds = np.concatenate([[0], np.cumsum(sizes)])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
-from terravane.llm.jobs import read_table, with_columns_of
+from terravane.llm.jobs import bounded_batches, read_table, with_columns_of
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -251,4 +251,5 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with personal data masked."""
+    bounded_batches(spark)
     return mask(docs)

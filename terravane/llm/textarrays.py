@@ -71,7 +71,7 @@ def pieces(column: pa.Array) -> list[bytes]:
     return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 2 << 20, max_rows: int = 2048) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 19, max_rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each part holds at most max_bytes of the column (one longer text stands alone) and max_rows."""
     for batch in batches:
         if not batch.num_rows:

@@ -139,7 +139,7 @@ def write_tokens(docs: DataFrame, uri: str, path: str = VOCABULARY, end_id: int
         fs.create_dir(root, recursive=True)
         n_docs = at = 0
         ids_out = offsets_out = docs_out = None
-        for batch in ta.slices(batches):
+        for batch in ta.slices(batches, max_bytes=2 << 20):
             if ids_out is None:
                 ids_out, offsets_out, docs_out = (fs.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "offsets", "docs"))
                 offsets_out.write(np.zeros(1, "<i8").tobytes())
