@@ -3,7 +3,8 @@
 Pass one scatters records uniformly into buckets that fit in memory, by a seeded hash of their id and content. Pass two shuffles each
 bucket (Spark's shuffle() is a Fisher-Yates shuffle of an array) and writes it. Prefix sums of the bucket sizes give every
 record its rank in the whole, and ranks are cut into shards whose row counts differ by at most one (the law `rows`). A bucket
-lies in one shard or a few neighbours, so the second pass writes without another exchange.
+lies in one shard or a few neighbours, so the second pass writes without another exchange. Buckets follow from the seed; the
+order within one also depends on Spark's task numbers, so it can differ between runs.
 
 Edge cases: a null text has no bytes; null ids are scattered by content. Repeated rows are records of their own, though equal
 in id and text they share a bucket. No records: no rows. Fewer records than shards: the rest of the shards is empty.
