@@ -206,6 +206,18 @@ def main_frame(spark, sf_dir):
     return release.frame(view(spark, sf_dir, "boxes").where("n % 40 < 5 and n < 160"))
 
 
+FRAMED = "SELECT id, x1, y1, x1 + 0.5E0 + n % 7 AS x2, y2 FROM {boxes}"
+FRAME = """SELECT {name} AS name, CASE WHEN one THEN wx1 ELSE lx END AS x1, CASE WHEN one THEN wy1 ELSE ly END AS y1, CASE WHEN one THEN wx2 ELSE hx END AS x2, CASE WHEN one THEN wy2 ELSE hy END AS y2
+FROM (SELECT *, greatest(hx - lx, hy - ly) > 12 * greatest(wx2 - wx1, wy2 - wy1) AS one FROM (SELECT min(x1) AS lx, min(y1) AS ly, max(x2) AS hx, max(y2) AS hy FROM ({rows})), (SELECT x1 AS wx1, y1 AS wy1, x2 AS wx2, y2 AS wy2 FROM ({rows}) ORDER BY greatest(x2 - x1, y2 - y1) DESC, id DESC LIMIT 1))"""
+
+
+@query(FRAME.replace("{name}", "'boxes'").replace("{rows}", "SELECT * FROM {boxes}") + " UNION ALL " + FRAME.replace("{name}", "'wide'").replace("{rows}", FRAMED))
+def main_frame_whole(spark, sf_dir):
+    """Bounds of all boxes, and of all boxes made wider."""
+    framed = lambda name, sql: release.frame(view(spark, sf_dir, sql)).select(F.lit(name).alias("name"), "x1", "y1", "x2", "y2")
+    return framed("boxes", "boxes").union(framed("wide", FRAMED))
+
+
 @query("""WITH p AS (SELECT o_custkey % 20 AS key, (o_orderkey % 97) / 10.0E0 AS x, (o_orderkey % 89) / 10.0E0 AS y, o_orderkey % 2 AS s FROM {orders} WHERE o_orderkey <= 600), d AS (SELECT a.key, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS qy, sqrt(pow((b.x - a.x) * 111.320E0 * cos(radians((a.y + b.y) / 2)), 2) + pow((b.y - a.y) * 110.574E0, 2)) AS d FROM p a JOIN p b ON a.key = b.key WHERE a.s = 0 AND b.s = 1)
 SELECT key, round(max(m), 6) AS km FROM (SELECT key, min(d) AS m FROM d GROUP BY key, ax, ay UNION ALL SELECT key, min(d) FROM d GROUP BY key, bx, qy) GROUP BY key""")
 def hausdorff_km(spark, sf_dir):
@@ -214,6 +226,14 @@ def hausdorff_km(spark, sf_dir):
     return release.hausdorff(p.where("s = 0"), p.where("s = 1")).select("key", F.round("km", 6).alias("km"))
 
 
+@query("""WITH p AS (SELECT o_custkey AS key, (o_orderkey % 97) / 10.0E0 AS x, (o_orderkey % 89) / 10.0E0 AS y, o_orderkey % 2 AS s FROM {orders}), d AS (SELECT a.key, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS qy, sqrt(pow((b.x - a.x) * 111.320E0 * cos(radians((a.y + b.y) / 2)), 2) + pow((b.y - a.y) * 110.574E0, 2)) AS d FROM p a JOIN p b ON a.key = b.key WHERE a.s = 0 AND b.s = 1)
+SELECT key, round(max(m), 6) AS km FROM (SELECT key, min(d) AS m FROM d GROUP BY key, ax, ay UNION ALL SELECT key, min(d) FROM d GROUP BY key, bx, qy) GROUP BY key""")
+def hausdorff_km_whole(spark, sf_dir):
+    """Distances of the point sets of each customer, over all orders."""
+    p = view(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), (F.col("o_orderkey") % 97 / 10.0).alias("x"), (F.col("o_orderkey") % 89 / 10.0).alias("y"), (F.col("o_orderkey") % 2).alias("s"))
+    return release.hausdorff(p.where("s = 0"), p.where("s = 1")).select("key", F.round("km", 6).alias("km"))
+
+
 @query("SELECT l_orderkey AS location, round(sum(l_extendedprice * l_quantity / (l_quantity + 10)), 6) AS value FROM {lineitem} GROUP BY 1")
 def area_weighted(spark, sf_dir):
     """Values by the share of their area."""

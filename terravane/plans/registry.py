@@ -543,8 +543,8 @@ def ordered_claims(spark, sf_dir):
 @query()
 def refined_parents(spark, sf_dir):
     """Boxes split by seeds, people conserved."""
-    parents = grid(spark, sf_dir).where("n <= 60").select("id", "ring", (1 + F.col("n") % 5).cast("int").alias("parts"), F.col("n").cast("double").alias("population"))
-    points = grid(spark, sf_dir).where("n <= 60 and n % 4 <> 0").select("id", (F.col("ring")[0]["x"] + 0.1).alias("x"), (F.col("ring")[0]["y"] + 0.3).alias("y"), F.col("n").cast("double").alias("weight"), F.lit("settlement").alias("kind"), F.col("id").alias("point_id"))
+    parents = grid(spark, sf_dir).select("id", "ring", (1 + F.col("n") % 5).cast("int").alias("parts"), F.col("n").cast("double").alias("population"))
+    points = grid(spark, sf_dir).where("n % 4 <> 0").select("id", (F.col("ring")[0]["x"] + 0.1).alias("x"), (F.col("ring")[0]["y"] + 0.3).alias("y"), F.col("n").cast("double").alias("weight"), F.lit("settlement").alias("kind"), F.col("id").alias("point_id"))
     return partition.refine(parents, points).select("parent", "part", F.round("area", 9).alias("area"), F.round("population", 6).alias("population"))
 
 

@@ -1,5 +1,7 @@
 """Every query with SQL against DuckDB on the smallest tables; the others against plain Python."""
 
+import math
+
 import duckdb
 import pytest
 
@@ -89,3 +91,36 @@ def test_merge_to_target():
     assert sorted(map(tuple, graph.merge_to_target(nodes, {(0, 1): 1.0, (1, 2): 3.0, (2, 3): 1.0}, 3))) == [(0,), (1, 2), (3,)]
     with pytest.raises(ValueError, match="above the target"):
         graph.merge_to_target(nodes, {(0, 1): 1.0}, 2)
+
+
+def test_refined_parents_split_every_box(spark):
+    rows = registry.refined_parents(spark, DATA).collect()
+    want = {r.id: r.n for r in view(spark, DATA, "boxes").collect()}
+    area, people, parts = {}, {}, {}
+    for r in rows:
+        area[r.parent] = area.get(r.parent, 0) + r.area
+        people[r.parent] = people.get(r.parent, 0) + r.population
+        parts[r.parent] = parts.get(r.parent, 0) + 1
+    assert max(want.values()) > 60 and area.keys() == want.keys()
+    assert all(abs(area[i] - 0.25) < 1e-6 and abs(people[i] - n) < 1e-4 and parts[i] <= 1 + n % 5 for i, n in want.items())
+
+
+def test_hausdorff_takes_all_orders(spark):
+    sets = {}
+    for r in view(spark, DATA, "orders").collect():
+        sets.setdefault(r.o_custkey, ([], []))[r.o_orderkey % 2].append((r.o_orderkey % 97 / 10, r.o_orderkey % 89 / 10))
+    km = lambda p, q: math.hypot((q[0] - p[0]) * 111.32 * math.cos(math.radians((p[1] + q[1]) / 2)), (q[1] - p[1]) * 110.574)
+    far = lambda a, b: max(min(km(p, q) for q in b) for p in a)
+    want = {k: max(far(a, b), far(b, a)) for k, (a, b) in sets.items() if a and b}
+    got = {r.key: r.km for r in registry.queries()["hausdorff_km_whole"](spark, DATA).collect()}
+    assert got == pytest.approx(want, abs=1e-5)
+
+
+def test_main_frame_takes_all_boxes(spark):
+    boxes = view(spark, DATA, "boxes").collect()
+    got = {r.name: tuple(r)[1:] for r in registry.queries()["main_frame_whole"](spark, DATA).collect()}
+    for name, rows in {"boxes": [(b.x1, b.y1, b.x2, b.y2, b.id) for b in boxes], "wide": [(b.x1, b.y1, b.x1 + 0.5 + b.n % 7, b.y2, b.id) for b in boxes]}.items():
+        bounds = (min(r[0] for r in rows), min(r[1] for r in rows), max(r[2] for r in rows), max(r[3] for r in rows))
+        size = lambda r: max(r[2] - r[0], r[3] - r[1])
+        widest = max(rows, key=lambda r: (size(r), r[4]))
+        assert got[name] == (widest[:4] if size(bounds) > 12 * size(widest) else bounds)
