@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terravane.functions import geo, text
 from terravane.operators import hierarchy, measure, quality, release
 from terravane.operators.ownership import land
-from terravane.plans.registry import grid, owned, query
+from terravane.plans.registry import APART, apart, grid, owned, query
 from terravane.plans.views import view
 
 
@@ -175,6 +175,14 @@ def located_points(spark, sf_dir):
     return rows.select("point_id", "id", F.round("gap", 9).alias("gap"))
 
 
+@query(f"""WITH q AS ({APART}), d AS (SELECT point_id, id, sqrt(pow(greatest(b.x1 - p.x, p.x - b.x2, 0), 2) + pow(greatest(b.y1 - p.y, p.y - b.y2, 0), 2)) AS gap FROM {{points}} p JOIN q b ON p.x BETWEEN b.x1 - 0.5 AND b.x2 + 0.5 AND p.y BETWEEN b.y1 - 0.5 AND b.y2 + 0.5)
+SELECT point_id, id, round(gap, 9) AS gap FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY round(gap, 12), id) AS r FROM d WHERE gap <= 0.5) WHERE r = 1""")
+def located_points_whole(spark, sf_dir):
+    """Points against all boxes, made small."""
+    rows = release.locate(view(spark, sf_dir, "points"), apart(spark, sf_dir), 1.0, 0.5)
+    return rows.select("point_id", "id", F.round("gap", 9).alias("gap"))
+
+
 @query("""SELECT province_id AS scaffold_id, CASE WHEN n % 3 = 0 THEN 'replace' WHEN n % 2 = 0 THEN 'identity' ELSE 'scaffold' END AS operation, CASE WHEN n % 3 = 0 THEN 'third_' ELSE CASE WHEN n % 2 = 0 THEN 'first_' ELSE 'third_' END END || province_id AS era_id FROM {provinces}""")
 def composed_eras(spark, sf_dir):
     """Packs laid over one another."""
@@ -200,6 +208,12 @@ def identity_conflicts(spark, sf_dir):
     return release.unique_identities(view(spark, sf_dir, "lineitem").where("l_linenumber < 3"), "l_partkey", ["l_suppkey"])
 
 
+@query("SELECT l_partkey, count(DISTINCT l_suppkey) AS identities FROM {lineitem} GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1")
+def identity_conflicts_whole(spark, sf_dir):
+    """Ids whose identity differs in any line."""
+    return release.unique_identities(view(spark, sf_dir, "lineitem"), "l_partkey", ["l_suppkey"])
+
+
 @query("SELECT min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM {boxes} WHERE n % 40 < 5 AND n < 160")
 def main_frame(spark, sf_dir):
     """Bounds of rows near each other."""

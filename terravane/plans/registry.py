@@ -309,6 +309,25 @@ def strait_links(spark, sf_dir):
     return spatial.straits(some, some, none, 80.0).select("a", "b", F.round("km", 6).alias("km"))
 
 
+#: All boxes, made small and shifted, so that there are gaps between them.
+APART = "SELECT id, n, x1 + 0.1003E0 + 0.0011E0 * (n % 13) AS x1, y1 + 0.1003E0 + 0.0011E0 * (n % 11) AS y1, x1 + 0.3E0 AS x2, y1 + 0.25E0 AS y2 FROM {boxes}"
+
+
+def apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """APART as polygons."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    return view(spark, sf_dir, APART).select("id", F.array(corner("x1", "y1"), corner("x2", "y1"), corner("x2", "y2"), corner("x1", "y2"), corner("x1", "y1")).alias("ring"))
+
+
+@query(f"""WITH c AS ({APART}), d AS (SELECT s.id AS a, t.id AS b, sqrt(pow(greatest(t.x1 - s.x2, s.x1 - t.x2, 0), 2) + pow(greatest(t.y1 - s.y2, s.y1 - t.y2, 0), 2)) AS gap FROM c s JOIN c t ON s.id < t.id AND abs(s.x1 - t.x1) <= 1.5 AND abs(s.y1 - t.y1) <= 1.5)
+SELECT a, b, round(gap * (2 * pi() * 6371.0088E0 / 360), 6) AS km FROM d WHERE gap > 0 AND gap * (2 * pi() * 6371.0088E0 / 360) <= 80""")
+def strait_links_whole(spark, sf_dir):
+    """All boxes, made small, within 80 km of each other."""
+    rows = apart(spark, sf_dir)
+    none = spark.createDataFrame([], "a string, b string")
+    return spatial.straits(rows, rows, none, 80.0).select("a", "b", F.round("km", 6).alias("km"))
+
+
 WIDE = "SELECT id, x1 - 0.1E0 * (n % 3) AS x1, y1 AS y1, x2 + 0.1E0 * (n % 2) AS x2, y2 AS y2 FROM {boxes}"
 
 
@@ -388,6 +407,16 @@ def census_gaps(spark, sf_dir):
     return quality.census_gaps(cells, nation, events, "n_name", "event_type")
 
 
+SPARSE = "SELECT n_name, concat(event_type, '-', CAST(user_id % 10 AS STRING)) AS kind FROM {events} JOIN {nation} ON user_id % 25 = n_nationkey"
+
+
+@query(f"SELECT * FROM (SELECT a.n_name, b.kind, count(c.n_name) AS n FROM (SELECT DISTINCT n_name FROM {{nation}}) a CROSS JOIN (SELECT DISTINCT kind FROM ({SPARSE})) b LEFT JOIN ({SPARSE}) c ON c.n_name = a.n_name AND c.kind = b.kind GROUP BY 1, 2) WHERE n <> 1")
+def census_gaps_whole(spark, sf_dir):
+    """All events in cells of nations and kinds of which many don't occur."""
+    cells = view(spark, sf_dir, SPARSE)
+    return quality.census_gaps(cells, view(spark, sf_dir, "nation"), cells, "n_name", "kind")
+
+
 @query("""WITH v AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y') WHEN 1 THEN strftime(o_orderdate, '%Y-%m') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS p FROM {orders}),
 b AS (SELECT o_orderkey, p, CASE length(p) WHEN 4 THEN CAST(p || '-01-01' AS DATE) WHEN 7 THEN CAST(p || '-01' AS DATE) ELSE CAST(p AS DATE) END AS low, CASE length(p) WHEN 4 THEN CAST(p || '-12-31' AS DATE) WHEN 7 THEN last_day(CAST(p || '-01' AS DATE)) ELSE CAST(p AS DATE) END AS high FROM v)
 SELECT o_orderkey, p, low, high, DATE '1995-06-15' BETWEEN low AND high AS holds FROM b""")
@@ -518,7 +547,7 @@ def adjacency_findings(spark, sf_dir):
 @query()
 def tile_archive(spark, sf_dir):
     """Vector tiles of the grid, as runs of an archive's directory."""
-    return tiles.entries_of(tiles.encode_tiles(grid(spark, sf_dir).where("n % 3 = 0"), (3, 6), "provinces", ["n"]))
+    return tiles.entries_of(tiles.encode_tiles(grid(spark, sf_dir), (3, 6), "provinces", ["n"]))
 
 
 @query(f"WITH w AS ({WIDE}) SELECT id, round((x2 - x1) * (y2 - y1) - coalesce((SELECT sum(greatest(least(s.x2, t.x2) - greatest(s.x1, t.x1), 0) * (s.y2 - s.y1)) FROM w t WHERE t.id < s.id AND t.y1 = s.y1), 0), 6) AS area FROM w s")

@@ -4,8 +4,10 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from terravane.operators import graph
+from terravane.functions import geo
+from terravane.operators import graph, tiles
 from terravane.plans import registry
 from terravane.plans.views import TABLES, view
 
@@ -124,3 +126,27 @@ def test_main_frame_takes_all_boxes(spark):
         size = lambda r: max(r[2] - r[0], r[3] - r[1])
         widest = max(rows, key=lambda r: (size(r), r[4]))
         assert got[name] == (widest[:4] if size(bounds) > 12 * size(widest) else bounds)
+
+
+def test_tile_archive_holds_every_box(spark):
+    held = {i for r in registry.tile_archive(spark, DATA).collect() for i in range(r.tile_id, r.tile_id + r.run)}
+    middles = [((b.x1 + b.x2) / 2, (b.y1 + b.y2) / 2) for b in view(spark, DATA, "boxes").collect()]
+    tile = lambda x, y: (int((x + 180) / 360 * 64), int((1 - math.asinh(math.tan(math.radians(y))) / math.pi) / 2 * 64))
+    at = spark.createDataFrame(sorted({(6, *tile(*m)) for m in middles}), "z int, x long, y long")
+    want = {r[0] for r in at.select(geo.hilbert_tile_id(F.col("z"), F.col("x"), F.col("y"))).collect()}
+    encoded = tiles.encode_tiles(registry.grid(spark, DATA), (3, 6), "provinces", ["n"])
+    assert want <= held and held == {r.tile_id for r in encoded.select("tile_id").collect()}
+    shas = {r.sha for r in registry.tile_archive(spark, DATA).collect()}
+    assert shas == {r[0] for r in encoded.select(F.sha2("data", 256)).collect()}
+
+
+def test_whole_views_meet_their_operators(spark):
+    ids = {r.id for r in view(spark, DATA, "boxes").collect()}
+    whole = {n: registry.queries()[n](spark, DATA).collect() for n in ("strait_links_whole", "located_points_whole", "census_gaps_whole", "identity_conflicts_whole")}
+    assert {i for r in whole["strait_links_whole"] for i in (r.a, r.b)} == ids
+    assert all(r.n != 1 for r in whole["census_gaps_whole"]) and {r.n == 0 for r in whole["census_gaps_whole"]} == {True, False}
+    lines = {}
+    for r in view(spark, DATA, "lineitem").select("l_partkey", "l_suppkey").collect():
+        lines.setdefault(r.l_partkey, set()).add(r.l_suppkey)
+    assert {r.l_partkey: r.identities for r in whole["identity_conflicts_whole"]} == {k: len(v) for k, v in lines.items() if len(v) > 1}
+    assert whole["located_points_whole"]
