@@ -3,7 +3,8 @@
 Base spans are what four fixed patterns find in the text itself. For the rest a transducer rewrites the text: homoglyphs and
 full-width forms become ASCII, invisible characters vanish, spelled digits become digits, and "at", "dot" and "plus" in brackets or
 between the parts of an address become their signs. Each rewritten piece keeps the bounds of its source, so a span found in
-the rewritten text maps back to code points of the source. A found span that meets no base span of its kind is added.
+the rewritten text maps back to code points of the source. A found span that meets no base span of its kind is added, and so is a
+phone number of which the base span lacks the end, as that is spelled. Dots in disguise between digit groups are undone too.
 
 Edge cases: a null text is an empty one. Work is linear in the text: no pattern is retried inside a run that has failed it.
 Repeated rows are treated alike, each by itself.
@@ -89,17 +90,25 @@ INVISIBLE = "­​‌‍⁠﻿"
 SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 _WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
 _NUMBER = rf"(?:{_WORD}|[0-9])"
-#: Runs of at least four single digits of which one is spelled; the gaps between digits vanish, dots stay.
-_GAP = r"(?:[\x20,-]{1,2}|[\x20]?(?:\.|[(\[{]?\bdot\b[)\]}]?)[\x20]?)"
-RUN = rf"(?<![A-Za-z0-9])(?:plus[\x20]|\+[\x20]?)?(?:[0-9]{{1,4}}{_GAP}){{0,8}}(?:{_WORD})(?:{_GAP}(?:{_WORD}|[0-9]{{1,4}}))++(?![A-Za-z0-9])"
+#: Runs of two digit groups or more of which one is spelled; the gaps between digits vanish, dots stay.
+_BARE_DOT = r"[(\[{<][\x20]?(?:dot|\.)[\x20]?[)\]}>]|[(\[{]?\bdot\b[)\]}]?"
+_GAP = rf"(?:[\x20,-]{{1,2}}|[\x20]?(?:\.|{_BARE_DOT})[\x20]?)"
+#: Before a run's only spelled digit, if that ends it: no gap that may end a clause.
+_CLOSE_GAP = rf"(?:[\x20-]{{1,2}}|,|\.|[\x20]\.[\x20]|[\x20]?(?:{_BARE_DOT})[\x20]?)"
+_END = "(?![A-Za-z0-9])"
+_TAIL = rf"(?:{_GAP}(?:{_WORD}|[0-9]++){_END})"
+RUN = rf"(?<![A-Za-z0-9])(?:plus[\x20]|\+[\x20]?)?(?:(?:[0-9]++{_GAP}){{0,18}}(?:{_WORD}){_TAIL}++|(?:[0-9]++{_GAP}){{0,18}}[0-9]++{_CLOSE_GAP}(?:{_WORD}){_END})"
 _AT = r"(?:[\x20]?[(\[{<][\x20]?(?:at|@)[\x20]?[)\]}>][\x20]?|[\x20]@[\x20]|@)"
 _SPOKEN_DOT = r"(?:[\x20]?[(\[{<][\x20]?(?:dot|\.)[\x20]?[)\]}>][\x20]?|[\x20]dot[\x20])"
 _DOT = rf"(?:{_SPOKEN_DOT}|\.)"
 #: "at" as a bare word counts only where the domain's dots are disguised too.
 ADDRESS = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)*?(?:{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+|[\x20]at[\x20][A-Za-z0-9-]++(?:{_SPOKEN_DOT}[A-Za-z0-9-]++)+)"
-RUNS, ADDRESSES = re.compile(RUN, re.I), re.compile(ADDRESS, re.I)
+#: A dotted run without an address is passed over whole: none starts inside it.
+RUNS, ADDRESSES = re.compile(RUN, re.I), re.compile(rf"(?P<address>{ADDRESS})|(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)++", re.I)
 PIECES = re.compile(rf"(?P<at>{_AT}|[\x20]at[\x20])|(?P<dot>{_DOT})", re.I)
-DIGITS = re.compile(rf"(?P<plus>plus[\x20]|\+[\x20]?)|(?P<word>{_WORD})|(?P<dot>[\x20]?(?:\.|[(\[{{]?\bdot\b[)\]}}]?)[\x20]?)|(?P<gap>[\x20,-]+)", re.I)
+DIGITS = re.compile(rf"(?P<plus>plus[\x20]|\+[\x20]?)|(?P<word>{_WORD})|(?P<dot>[\x20]?(?:\.|{_BARE_DOT})[\x20]?)|(?P<gap>[\x20,-]+)", re.I)
+#: Disguised dots between groups of digits.
+DIGIT_DOTS = re.compile(rf"(?<=[0-9]){_SPOKEN_DOT}(?=[0-9])", re.I)
 #: Without any of these a rewritten text equals the source.
 GLYPHS = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + INVISIBLE + "]")
 SPOKEN = re.compile(rf"[(\[{{<\x20](?:at|@)[)\]}}>\x20]|\b(?:{_WORD})[\x20,.-]{{1,2}}{_NUMBER}|[0-9][\x20,.-]{{1,2}}(?:{_WORD})\b|[(\[{{<\x20](?:dot|\.)[)\]}}>\x20]", re.I)
@@ -175,12 +184,20 @@ def rewrite(text: str) -> Rewritten | None:
     out = Rewritten(text)
     if glyphs:
         out.apply([(m.start(), m.end(), HOMOGLYPHS.get(m.group(), "")) for m in GLYPHS.finditer(text)])
-    out.apply([(m.start(), m.end(), _digits(m.group())) for m in RUNS.finditer(out.text)])
+    addresses, inside, runs = [m.span() for m in ADDRESSES.finditer(out.text) if m["address"]], 0, []
+    for m in RUNS.finditer(out.text):
+        while inside < len(addresses) and addresses[inside][1] <= m.end():
+            inside += 1
+        # a part of an address before its end is left to the address
+        if inside == len(addresses) or m.start() < addresses[inside][0]:
+            runs.append((m.start(), m.end(), _digits(m.group())))
+    out.apply(runs)
     edits = []
     for m in ADDRESSES.finditer(out.text):
-        for p in PIECES.finditer(m.group()):
+        for p in PIECES.finditer(m["address"] or ""):
             edits.append((m.start() + p.start(), m.start() + p.end(), "@" if p["at"] else "."))
     out.apply(edits)
+    out.apply([(m.start(), m.end(), ".") for m in DIGIT_DOTS.finditer(out.text)])
     return out
 
 
@@ -197,7 +214,9 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     extra = []
     for kind, a, b in base_spans(out.text):
         low, high = out.source(a)[0], out.source(b - 1)[1]
-        if out.text[a:b] == text[low:high] or any(x < high and low < y for x, y in taken[kind]):
+        met = [(x, y) for x, y in taken[kind] if x < high and low < y]
+        longer = kind == "phone" and all(low <= x and y < high for x, y in met)  # the base span lacks the spelled end
+        if out.text[a:b] == text[low:high] or met and not longer:
             continue  # not in disguise, or a base span already
         if kind == "email" and not TOP_LEVEL.search(out.text[a:b]):
             continue
