@@ -4,8 +4,8 @@ Code points become classes by one table look-up; what the split pattern looks ah
 letters after an apostrophe) is part of the class. Each class is a function on the eight states of an automaton that walks the
 split pattern, and these functions form a small monoid, so the states before all characters come from an associative scan over
 monoid elements: in blocks, all blocks at once, then over the block totals. Where the automaton starts a new match is a
-boundary. No regular expression takes part. The slices between boundaries go through a bounded cache; the slices that it lacks
-are merged pair by pair, all slices of a length class at once.
+boundary. No regular expression takes part. The slices between boundaries are looked up in a bounded cache, all at once; the
+slices that it lacks are merged pair by pair, all slices of a length class at once. Decoding puts the tokens' bytes side by side.
 
 Edge cases: a null text is an empty one and has no tokens. Texts of any length are encoded whole. Equal texts have equal ids.
 """
@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
 from terravane.llm.jobs import read_table
+from terravane.llm.slicecache import SliceCache, spread
 
+#: Slices that a process keeps with their ids.
+SLICES = 1 << 20
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Character classes. The pattern splits a run of white space before its last character if text follows; that character then
@@ -170,10 +173,6 @@ class Slices:
         pair = points[long + 1].astype(np.int64) * 128 + points[long + 2]
         kind[long[np.isin(pair, [ord(a) * 128 + ord(b) for a, b in ("re", "ve", "ll")]) & (points[long + 2] < 128)]] = QUOTE_2
 
-    def all(self) -> list[bytes]:
-        data, at = self.data, self.starts.tolist()
-        return [data[a:b] for a, b in zip(at, at[1:])]
-
 
 NONE = np.int32(0x7FFFFFFF)
 
@@ -184,13 +183,16 @@ class Merger:
     #: Longest slices, in bytes, of each class that is merged at once; longer ones are merged one by one.
     WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40)
 
-    def __init__(self, path: str = RANKS, cached: int = 200_000):
+    def __init__(self, path: str = RANKS, cached: int = SLICES):
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.cached = cached
-        self.own = {token: rank.to_bytes(4, "little") for token, rank in self.ranks.items()}
-        self.cache = dict(self.own)
+        self.cache = SliceCache(self._ids, "<u4", cached)
+        sizes = np.zeros(max(self.tokens) + 2, np.int64)
+        for rank, token in self.tokens.items():
+            sizes[rank + 1] = len(token)
+        self.token_at = np.cumsum(sizes)
+        self.token_bytes = np.frombuffer(b"".join(self.tokens[rank] for rank in sorted(self.tokens)), np.uint8)
         self.byte_rank = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         keys, values = [], []
         ranks = self.ranks
@@ -303,30 +305,39 @@ class Merger:
                 offer(before[i])
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
-    def learn(self, slices: list[bytes]) -> dict[bytes, bytes]:
-        """The cache, holding at least these slices."""
-        if len(self.cache) > self.cached:
-            self.cache = dict(self.own)
-        new = list(set(slices).difference(self.cache))
-        if new:
-            self.cache.update(zip(new, self.merge_many(new)))
-        return self.cache
+    def _ids(self, slices: list[bytes]) -> list[bytes]:
+        """Ids of slices: a token's own rank, or what merging gives."""
+        out = [rank.to_bytes(4, "little") if (rank := self.ranks.get(s)) is not None else b"" for s in slices]
+        rest = [i for i, ids in enumerate(out) if not ids]
+        for i, ids in zip(rest, self.merge_many([slices[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def encode_all(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the bounds of each text's."""
+        cut = Slices(parts)
+        ids, counts = self.cache.look_up(cut.data, cut.starts)
+        return ids, np.concatenate([[0], np.cumsum(counts)])[cut.bounds]
 
     def encode(self, parts: list[bytes]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
-        cut = Slices(parts)
-        slices = cut.all()
-        get = self.learn(slices).__getitem__
-        at = cut.bounds.tolist()
-        return [b"".join(map(get, slices[a:b])) for a, b in zip(at, at[1:])]
+        ids, bounds = self.encode_all(parts)
+        data, at = ids.tobytes(), (4 * bounds).tolist()
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def sizes(self, ids: np.ndarray) -> np.ndarray:
+        """Bytes of each token."""
+        return self.token_at[ids.astype(np.int64) + 1] - self.token_at[ids]
+
+    def decode_all(self, ids: np.ndarray) -> bytes:
+        return self.token_bytes[spread(self.token_at[ids], self.sizes(ids))].tobytes()
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_all(np.frombuffer(ids, "<u4"))
 
     def offsets(self, ids: bytes) -> np.ndarray:
         """Byte offsets in the text at which the tokens start, and the end."""
-        sizes = np.fromiter((len(self.tokens[i]) for i in np.frombuffer(ids, "<u4").tolist()), np.int64)
-        return np.concatenate([[0], np.cumsum(sizes)])
+        return np.concatenate([[0], np.cumsum(self.sizes(np.frombuffer(ids, "<u4")))])
 
 
 @functools.cache
@@ -354,7 +365,7 @@ def decode_documents(encoded: DataFrame, path: str = RANKS) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(path)
         for batch in batches:
-            texts = [b"".join(m.tokens[i] for i in ids).decode(errors="replace") for ids in batch.column(1).to_pylist()]
+            texts = [m.decode_all(np.array(ids, np.int64)).decode(errors="replace") for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
@@ -366,11 +377,10 @@ def round_trip(docs: DataFrame, text: str = "text", path: str = RANKS) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = merger(path)
         for batch in ta.slices(batches):
-            ids = m.encode(ta.pieces(batch.column(1)))
-            yield pa.record_batch(
-                [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([sha256(x).hexdigest() for x in ids]), pa.array([sha256(m.decode(x)).hexdigest() for x in ids])],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            ids, bounds = m.encode_all(ta.pieces(batch.column(1)))
+            ends = np.concatenate([[0], np.cumsum(m.sizes(ids))])[bounds]
+            digests = [[sha256(data[a:b]).hexdigest() for a, b in zip(at.tolist(), at[1:].tolist())] for data, at in ((memoryview(ids.tobytes()), 4 * bounds), (memoryview(m.decode_all(ids)), ends))]
+            yield pa.record_batch([batch.column(0), pa.array(np.diff(bounds)), *map(pa.array, digests)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

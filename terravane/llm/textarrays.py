@@ -36,15 +36,37 @@ BYTE_VALUES = seeds(256, 7)
 _powers = (np.ones(1, U64), np.ones(1, U64))
 
 
+#: Powers beyond these many are made anew for each longer text, not kept.
+POWERS_KEPT = 1 << 21
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i below n; grown when needed, then kept."""
+    """BASE**i and BASE**-i for i below n; up to POWERS_KEPT of them are kept."""
     global _powers
-    if len(_powers[0]) < n:
+    found = _powers
+    if len(found[0]) < n:
         m = max(n, 1 << 16)
         up, down = np.full(m, BASE, U64), np.full(m, BASE_INV, U64)
         up[0] = down[0] = 1
-        _powers = (np.multiply.accumulate(up), np.multiply.accumulate(down))
-    return _powers[0][:n], _powers[1][:n]
+        found = (np.multiply.accumulate(up), np.multiply.accumulate(down))
+        if m <= POWERS_KEPT:
+            _powers = found
+    return found[0][:n], found[1][:n]
+
+
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums of weighted bytes, from which hashes of spans follow."""
+    out = np.zeros(len(data) + 1, U64)
+    np.cumsum(BYTE_VALUES[data] * powers(len(data))[0], dtype=U64, out=out[1:])
+    return out
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of byte spans; equal bytes have equal hashes wherever they stand. sums: byte_sums(data), if at hand."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    sums = byte_sums(data) if sums is None else sums
+    return mix((sums[ends] - sums[starts]) * powers(len(data) + 1)[1][starts] + (ends - starts).astype(U64))
 
 
 def as_strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
@@ -118,13 +140,9 @@ class Words:
         self.hashes = self.hash_spans(self.starts, self.ends) if hashed else None
 
     def hash_spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """64-bit hashes of byte spans; equal bytes have equal hashes wherever they stand."""
-        if not len(starts):
-            return np.zeros(0, U64)
-        up, down = powers(len(self.data))
         if not hasattr(self, "_sums"):
-            self._sums = np.concatenate([np.zeros(1, U64), np.cumsum(BYTE_VALUES[self.data] * up, dtype=U64)])
-        return mix((self._sums[ends] - self._sums[starts]) * down[starts] + (ends - starts).astype(U64))
+            self._sums = byte_sums(self.data)
+        return span_hashes(self.data, starts, ends, self._sums)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.bounds)

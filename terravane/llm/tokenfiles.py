@@ -6,12 +6,13 @@ of the file) and NAME.docs (64-bit doc_ids). A manifest table names the files of
 counts; a file left by a lost task is in no manifest. Prefix sums over the manifest give each file's base in the whole.
 
 A text is encoded by the library in pieces: no pre-token spans the step from a character that isn't white space to a space or line
-feed, or from a letter to an ASCII character that is none, so pieces cut there encode alone as they do in place, and repeated
-pieces come from a bounded cache. New pieces are
-encoded many to a string, for the same reason; the lengths of the tokens tell where each ends. A text with other white space
-is encoded in one piece.
+feed, or from an ASCII letter to an ASCII character that is none, so pieces cut there encode alone as they do in place, and repeated
+pieces come from a bounded cache. New pieces are encoded many to a string, for the same reason; the lengths of the tokens tell
+where each ends. A text with other white space is encoded in one piece.
 
-Edge cases: a null text is an empty one and has the end id alone. A null doc_id sorts first. Repeated doc_ids are documents of their own.
+Edge cases: a null text is an empty one and has the end id alone. A null doc_id sorts first. Repeated doc_ids are documents of their
+own, in the order of a hash of their text, so a hot id is dealt to many tasks; rows that are equal in both are dealt by chance, and as
+they have the same ids, the files are the same whatever their order.
 """
 
 from __future__ import annotations
@@ -35,85 +36,94 @@ from pyspark.sql.window import Window
 
 from terravane.llm import textarrays as ta
 from terravane.llm.jobs import new_path, read_table, stored
+from terravane.llm.slicecache import LONGEST, SliceCache
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Stands for a null doc_id in NAME.docs.
 NULL_ID = -(1 << 63)
-#: Letters that an ASCII character or the end follows, or else all up to the next space or line feed.
-PIECE = re.compile(r"[ \n]*[A-Za-zà-öø-ÿÀ-ÖØ-Þ]++(?=[\x00-\x7F]|\Z)|[ \n]*[^ \n]+|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 #: Bytes of other ASCII white space, and first bytes of all other characters that are white space.
 SUSPECT = np.zeros(256, bool)
 SUSPECT[[*range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 SUSPECT[0x0A] = False
+SPACE, LETTER, VISIBLE, SIGN = (np.zeros(256, bool) for _ in range(4))
+SPACE[[0x20, 0x0A]] = True
+LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
+VISIBLE[0x21:0x7F] = VISIBLE[0x80:] = True
+SIGN[0x21:0x7F] = ~LETTER[0x21:0x7F]
+#: Distinct pieces that a process keeps with their ids.
+PIECES = 1 << 20
 
 
 class Encoder:
-    #: The cache has two generations of at most about `cached` pieces: when the young one is full it becomes the old one, and a
-    #: piece that is met again moves to the young one, so frequent pieces stay.
-
-    def __init__(self, path: str, cached: int = 200_000):
+    def __init__(self, path: str, cached: int = PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.cached = cached
-
         vocabulary = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.sizes[i] = len(token)  # a character of a token stands for a byte
+        self.cache = SliceCache(self._pieces, self.dtype, cached)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, pieces: list[str], group: int = 2048) -> list[bytes]:
-        """Ids of pieces that begin with white space and end with another character."""
-        out: list[bytes] = []
-        groups = [pieces[i : i + group] for i in range(0, len(pieces), group)]
-        for own, found in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+    def _pieces(self, pieces: list[bytes], group: int = 2048) -> list[bytes]:
+        """Ids of pieces; those that begin with white space and end with another character are joined to long strings first."""
+        out = [b""] * len(pieces)
+        inner = [i for i, p in enumerate(pieces) if p[0] in b" \n" and p[-1] not in b" \n" and len(p) <= LONGEST]
+        rest = sorted(set(range(len(pieces))).difference(inner))
+        for i, ids in zip(rest, self._library([pieces[i].decode() for i in rest])):
+            out[i] = ids
+        groups = [inner[i : i + group] for i in range(0, len(inner), group)]
+        for own, found in zip(groups, self.tokenizer.encode_batch_fast([b"".join([pieces[i] for i in g]).decode() for g in groups], add_special_tokens=False)):
             ids = np.array(found.ids, self.dtype)
-            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in own]), side="right").tolist()
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(pieces[i]) for i in own]), side="right").tolist()
             data, width = ids.tobytes(), self.dtype.itemsize
-            out += [data[a * width : b * width] for a, b in zip([0, *ends], ends)]
+            for i, a, b in zip(own, [0, *ends], ends):
+                out[i] = data[a * width : b * width]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of dtype."""
-        if len(self.cache) > self.cached:
-            self.old, self.cache = self.cache, {}
-        odd = self._has_other_space(texts)
-        cut = [[t] if o else PIECE.findall(t) for t, o in zip(texts, odd)]
-        new = set().union(*cut).difference(self.cache)
-        if self.old:
-            met = new.intersection(self.old)
-            self.cache.update(zip(met, map(self.old.__getitem__, met)))
-            new -= met
-        inner = [p for p in new if p[0] in " \n" and p[-1] not in " \n" and len(p) <= 256]
-        rest = list(new.difference(inner))
-        if any(odd):
-            inner, rest = [], list(new)  # such texts may look like pieces
-        self.cache.update(zip(inner, self._pieces(inner)))
-        self.cache.update(zip(rest, self._library(rest)))
-        get = self.cache.__getitem__
-        out = [b"".join(map(get, pieces)) for pieces in cut]
-        for p in rest:  # whole texts aren't worth keeping
-            if len(p) > 256:
-                self.cache.pop(p, None)
-        return out
+    def encode(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the bounds of each text's."""
+        bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+        odd = self._has_other_space(parts, bounds)
+        if odd.any():
+            return self._mixed(parts, odd)
+        data = b"".join(parts)
+        raw = np.frombuffer(data, np.uint8)
+        left, right = raw[:-1], raw[1:]
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[1:-1] = (SPACE[right] & VISIBLE[left]) | (SIGN[right] & LETTER[left])
+        begins[bounds] = True
+        starts = np.flatnonzero(begins)
+        ids, counts = self.cache.look_up(data, starts)
+        return ids, np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, bounds)]
+
+    def _mixed(self, parts: list[bytes], odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.flatnonzero(~odd)
+        ids, bounds = self.encode([parts[i] for i in plain])
+        out: list[np.ndarray] = [np.zeros(0, self.dtype)] * len(parts)
+        for i, a, b in zip(plain.tolist(), bounds.tolist(), bounds[1:].tolist()):
+            out[i] = ids[a:b]
+        rest = np.flatnonzero(odd).tolist()
+        for i, found in zip(rest, self._library([parts[i].decode() for i in rest])):
+            out[i] = np.frombuffer(found, self.dtype)
+        return np.concatenate(out), np.concatenate([[0], np.cumsum(list(map(len, out)))])
 
     @staticmethod
-    def _has_other_space(texts: list[str]) -> list[bool]:
+    def _has_other_space(parts: list[bytes], bounds: np.ndarray) -> np.ndarray:
         """Which texts hold white space other than spaces and line feeds; only those with a byte that could be one are searched."""
-        data = np.frombuffer("\0".join(texts).encode(), np.uint8)
-        if not SUSPECT[data].any():
-            return [False] * len(texts)
-        return [OTHER_SPACE.search(t) is not None for t in texts]
+        odd = np.zeros(len(parts), bool)
+        suspects = np.flatnonzero(SUSPECT[np.frombuffer(b"".join(parts), np.uint8)])
+        for i in np.unique(np.searchsorted(bounds, suspects, side="right") - 1).tolist():
+            odd[i] = OTHER_SPACE.search(parts[i].decode()) is not None
+        return odd
 
 
 @functools.cache
@@ -132,21 +142,20 @@ def write_tokens(docs: DataFrame, uri: str, path: str = VOCABULARY, end_id: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        end = np.array([end_id], enc.dtype).tobytes()
         part = TaskContext.get().partitionId()
         name = f"{part:06d}-{uuid.uuid4().hex}"
         fs, root = _files(uri)
         fs.create_dir(root, recursive=True)
         n_docs = at = 0
         ids_out = offsets_out = docs_out = None
-        for batch in ta.slices(batches, max_bytes=2 << 20):
+        for batch in ta.slices(batches, max_bytes=1 << 20):
             if ids_out is None:
                 ids_out, offsets_out, docs_out = (fs.open_output_stream(f"{root}/{name}.{x}") for x in ("ids", "offsets", "docs"))
                 offsets_out.write(np.zeros(1, "<i8").tobytes())
-            ids = [x + end for x in enc.encode([t or "" for t in batch.column(1).to_pylist()])]
-            ends = at + np.cumsum([len(x) // enc.dtype.itemsize for x in ids])
-            at, n_docs = int(ends[-1]), n_docs + len(ids)
-            ids_out.write(b"".join(ids))
+            ids, bounds = enc.encode(ta.pieces(batch.column(1)))
+            ends = at + bounds[1:] + np.arange(1, len(bounds))
+            at, n_docs = int(ends[-1]), n_docs + batch.num_rows
+            ids_out.write(np.insert(ids, bounds[1:], end_id).tobytes())
             offsets_out.write(ends.astype("<i8").tobytes())
             docs_out.write(np.array(batch.column(0).fill_null(NULL_ID)).astype("<i8").tobytes())
         if n_docs:
@@ -157,7 +166,7 @@ def write_tokens(docs: DataFrame, uri: str, path: str = VOCABULARY, end_id: int
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
+    dealt = rows.withColumn("draw", F.xxhash64("text")).withColumn("chance", F.rand(0)).repartitionByRange(parts, "doc_id", "draw", "chance").sortWithinPartitions("doc_id", "draw").select("doc_id", "text")
     manifest = stored(dealt.mapInArrow(run, "part int, name string, n_docs long, n_ids long, width int"), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("long")))
