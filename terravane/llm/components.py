@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terravane.llm.jobs import stored
+from terravane.llm.jobs import dropped, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -21,22 +21,32 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return kept.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """Edges, and nodes that keep them from being stars: those with two edges up, or with edges both up and down."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("b", F.lit(0), F.lit(1)))
+    odd = (F.col("up") > 1) | (F.col("up") * F.col("down") > 0)
+    n, left = ends.groupBy("n").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).agg(F.sum("up"), F.sum(odd.cast("long"))).first()
+    return n or 0, left or 0
+
+
+#: Edges in a file of a round's table.
+FILE_ROWS = 250_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every end of an edge: label is the least node of the component.
 
     edges: columns a, b of one orderable type; self-loops, repeated and mirrored edges are allowed, nulls are dropped. No
-    edges: no rows. The number of rounds grows with the logarithm of the longest path.
+    edges: no rows. Rounds, about as many as the logarithm of the longest path, go on until every node but the labels
+    has one edge, to a label.
     """
     edges = edges.where("a is not null and b is not null")
     loops = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("label"))
-    mark = lambda df: df.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
     edges = stored(_small_star(edges.where("a <> b")), "star")
-    last = mark(edges)
-    while True:
-        edges = stored(_small_star(_large_star(edges)), "star")
-        now = mark(edges)
-        if now == last:
-            break
-        last = now
+    n, left = _state(edges)
+    while left:
+        before, edges = edges, stored(_small_star(_large_star(edges)).coalesce(1 + n // FILE_ROWS), "star")
+        dropped(before)
+        n, left = _state(edges)
     named = edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")))
     return named.union(loops).groupBy("node").agg(F.min("label").alias("label"))

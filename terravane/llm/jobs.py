@@ -5,36 +5,31 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import PurePosixPath
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (one machine, tests), a folder of our own."""
+    """The folder in spark.checkpoint.dir; where that is unset and the master is local (tests), a folder of our own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="terravane-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-#: Most rows in an Arrow batch: documents and shingle sets take kilobytes each, and a batch stands in memory several times.
-BATCH_ROWS = 1000
-BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Lets Spark drop the shuffle files of a query when it ends, not when the driver next collects garbage.
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to BATCH_ROWS, unless they are smaller already."""
-    if not 0 < int(spark.conf.get(BATCH_KEY)) <= BATCH_ROWS:
-        spark.conf.set(BATCH_KEY, str(BATCH_ROWS))
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -42,7 +37,6 @@ def new_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read again: lost executors cost no more than the running stage."""
     spark = df.sparkSession
-    bounded_batches(spark)
     path = new_path(spark, name)
     before = spark.conf.get(CLEANUP_KEY, "false")
     spark.conf.set(CLEANUP_KEY, "true")  # the table stands, so the shuffles that made it needn't
@@ -53,11 +47,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table of `stored` that no plan needs any more."""
+    spark = df.sparkSession
+    folders = {str(PurePosixPath(f.partition(":")[2] or f).parent) for f in df.inputFiles()}
+    own = PurePosixPath(shared_dir(spark).partition(":")[2] or shared_dir(spark))
+    for folder in folders:
+        if "/" + str(PurePosixPath(folder).parent).lstrip("/") == "/" + str(own).lstrip("/"):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{PurePosixPath(folder).name}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """docs with two long columns that together tell its rows apart, however often the plan is run, and their names.
+
+    They are a hash of the file and the row's place in it; docs that aren't read from files are stored first.
+    """
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        docs = stored(docs, "rows")
+    names = []
+    for name in ("row_file", "row_at"):
+        while name in docs.columns:
+            name += "_"
+        names.append(name)
+    return docs.withColumns({names[0]: F.xxhash64("_metadata.file_path"), names[1]: F.col("_metadata.row_index")}), names
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of the rows that share `key`, from batches in which equal keys stand together."""
     held: list[pa.RecordBatch] = []

@@ -1,10 +1,11 @@
 """Near-duplicate documents: DartMinHash signatures, banded candidates, exact verification, connected components.
 
-Similarity is the Jaccard similarity of the sets of five-word shingles of the lower-cased text (words as in
-textarrays.Words); 0.8 and more is a link, and a class is a connected component of links.
+A text is the weighted set of its five-word shingles (words as in textarrays.Words, lower-cased): the weight of a shingle is how often
+it occurs. Similarity is the weighted Jaccard similarity, the sum of the lesser weights over that of the greater ones; 0.8 and more is a
+link, and a class is a connected component of links.
 
-1. Every text gets a 128-bit fingerprint of its words and a DartMinHash signature. Texts of equal fingerprint are one node, so
-   copies, however many, cost one row from here on.
+1. Every text gets a 128-bit fingerprint of its words and a DartMinHash signature of the weighted set. Texts of equal fingerprint are one
+   node, so copies, however many, cost one row from here on.
 2. Nodes that agree on all rows of a band share a bucket. Each bucket links its members to one leader, drawn by a hash, so a
    bucket of n members gives n - 1 candidates. Candidates whose signatures agree on too few coordinates to be a link go; the
    rest are verified on whole shingle sets.
@@ -13,10 +14,11 @@ textarrays.Words); 0.8 and more is a link, and a class is a connected component
 4. What those tiles hold possible is verified the same way on shingle sets, again tile by tile.
 
 With 24 bands of 4 rows a pair at similarity 0.8 shares no bucket with a chance of 3e-6, and fails the agreement test with
-one of 2e-4 at exactly 0.8 and much less above it.
+one of 1e-6 at exactly 0.8 and much less above it.
 
 Edge cases: null, empty and wordless texts have no shingles and are never linked, not even to each other: each is its own
-class. A text of one to four words is one shingle. Repeated rows are copies.
+class. A text of one to four words is one shingle. Repeated rows are copies; rows of one doc_id but different texts are told apart by
+their text. Rows are found again by their place in the input's files, so a hot or null doc_id is no join key.
 """
 
 from __future__ import annotations
@@ -32,57 +34,72 @@ from pyspark.sql import functions as F
 from terravane.llm import textarrays as ta
 from terravane.llm.components import components
 from terravane.llm.dartminhash import signatures
-from terravane.llm.jobs import read_table, runs, stored, with_columns_of
+from terravane.llm.jobs import read_table, runs, stored, with_columns_of, with_row_key
+from terravane.llm.slicecache import spread
 
 BANDS, BAND_ROWS = 24, 4
 K = BANDS * BAND_ROWS
 THRESHOLD = 0.8
-#: Least share of agreeing coordinates for a pair to be verified: four standard deviations below 0.8.
-POSSIBLE = 0.64
+#: Least share of agreeing coordinates for a pair to be verified: more than five standard deviations below 0.8.
+POSSIBLE = 0.58
 #: Most members, and most minority members, in a tile.
 TILE = 256
 
 
-def shingle_sets(parts: list[bytes]) -> tuple[list[np.ndarray], ta.Words]:
+def shingle_sets(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, ta.Words]:
+    """Shingles of the texts, distinct and sorted for each, the bounds of each text's, how often each occurs, and the words."""
     words = ta.Words(parts)
     hashes, bounds = ta.shingles(words, 5)
-    return [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:])], words
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        hashes[a:b].sort()
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = hashes[1:] != hashes[:-1]
+    fresh[bounds[:-1][np.diff(bounds) > 0]] = True
+    at = np.flatnonzero(fresh)
+    return hashes[at], np.searchsorted(at, bounds), np.diff(np.append(at, len(hashes))), words
+
+
+def expanded(hashes: np.ndarray, counts: np.ndarray) -> bytes:
+    """A weighted set as a plain one of the same similarity: the k-th occurrence of an element is an element of its own."""
+    often = np.flatnonzero(counts > 1)
+    if len(often):
+        again = spread(np.ones(len(often), np.int64), counts[often] - 1).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            hashes = np.sort(np.concatenate([hashes, ta.mix(np.repeat(hashes[often], counts[often] - 1) + again * np.uint64(ta.BASE))]))
+    return hashes.tobytes()
 
 
 def fingerprints(words: ta.Words) -> list[bytes]:
     return [blake2b(words.hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(words.bounds, words.bounds[1:])]
 
 
+SKETCH = "row_file long, row_at long, doc_id long, node binary, sig binary, bands array<long>"
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in ta.slices(batches, max_bytes=1 << 20):
-        sets, words = shingle_sets(ta.pieces(batch.column(1)))
-        sizes = np.array([len(s) for s in sets], np.int64)
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        marks = signatures(np.concatenate(sets) if sets else np.zeros(0, np.uint64), bounds, K)
+    """SKETCH; node, sig and bands are null where a text has no words."""
+    for batch in ta.slices(batches):
+        hashes, bounds, counts, words = shingle_sets(ta.pieces(batch.column(3)))
+        marks = signatures(hashes, bounds, K, counts)
         with np.errstate(over="ignore"):
-            keys = np.ascontiguousarray(marks).view(np.uint64).reshape(len(sets), BANDS)
+            keys = np.ascontiguousarray(marks).view(np.uint64).reshape(batch.num_rows, BANDS)
             keys = ta.mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(ta.BASE)).view(np.int64)
-        some = np.flatnonzero(sizes)
-        prints = fingerprints(words)
-        ids = batch.column(0)
-        yield pa.record_batch(
-            [
-                ids.take(pa.array(some)),
-                pa.array([prints[i] for i in some], pa.binary()),
-                pa.array([marks[i].tobytes() for i in some], pa.binary()),
-                pa.FixedSizeListArray.from_arrays(pa.array(keys[some].reshape(-1)), BANDS).cast(pa.list_(pa.int64())),
-            ],
-            names=["doc_id", "node", "sig", "bands"],
-        )
+        bare = np.diff(bounds) == 0
+        data, width = marks.tobytes(), 2 * K
+        columns = [
+            pa.array([None if no else x for no, x in zip(bare.tolist(), fingerprints(words))], pa.binary()),
+            pa.array([None if no else data[i * width : i * width + width] for i, no in enumerate(bare.tolist())], pa.binary()),
+            pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS, mask=pa.array(bare)).cast(pa.list_(pa.int64())),
+        ]
+        yield pa.record_batch([*batch.columns[:3], *columns], names=["row_file", "row_at", "doc_id", "node", "sig", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, node) to (node, set) where the text has that fingerprint."""
+    """(text, node) to (node, set)."""
     for batch in ta.slices(batches):
-        sets, words = shingle_sets(ta.pieces(batch.column(0)))
-        want, have = batch.column(1).to_pylist(), fingerprints(words)
-        some = [i for i in range(len(want)) if bytes(want[i]) == have[i]]
-        yield pa.record_batch([pa.array([have[i] for i in some], pa.binary()), pa.array([sets[i].tobytes() for i in some], pa.binary())], names=["node", "set"])
+        hashes, bounds, counts, _ = shingle_sets(ta.pieces(batch.column(0)))
+        sets = [expanded(hashes[a:b], counts[a:b]) for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
+        yield pa.record_batch([batch.column(1), pa.array(sets, pa.binary())], names=["node", "set"])
 
 
 def overlap(x: np.ndarray, y: np.ndarray) -> float:
@@ -174,24 +191,24 @@ def _meet(groups: DataFrame, data: DataFrame, hits) -> DataFrame:
     return tiles.mapInArrow(_tiles(hits), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, class_id, n_copies) for each row of docs, as the module describes.
+def classified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """SKETCH's first four columns for each row of docs, and the label and n_copies of each node.
 
-    class_id: the least doc_id of the class (the doc_id itself where it is alone); n_copies: rows of the same words. A null doc_id
-    counts as the largest. Other columns of docs aren't read.
+    docs: as with_row_key gives them.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sketch = stored(docs.mapInArrow(_sketch, "doc_id long, node binary, sig binary, bands array<long>"), "sketch")
-    nodes = stored(sketch.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_copies"), F.first(F.struct("sig", "bands")).alias("s")).select("node", "doc_id", "n_copies", "s.*"), "nodes")
+    docs = docs.select(F.col("row_file"), F.col("row_at"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    sketch = stored(docs.mapInArrow(_sketch, SKETCH), "sketch")
+    worded = sketch.where("node is not null")
+    first = F.first(F.struct("row_file", "row_at", "sig", "bands"))
+    nodes = stored(worded.groupBy("node").agg(F.count("*").alias("n_copies"), first.alias("s")).select("node", "n_copies", "s.*"), "nodes")
 
     # keys of all bands meet as two longs a row; nodes and signatures are fetched for shared buckets only
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key")).select("node", F.xxhash64("band", "key").alias("group")).withColumn("draw", F.xxhash64("group", "node"))
     shared = rows.groupBy("group").agg(F.count("*").alias("n"), F.min("draw").alias("first")).where("n > 1").drop("n")
     buckets = stored(rows.join(shared, "group").select("group", "node", (F.col("draw") == F.col("first")).alias("leads")), "buckets")
 
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "doc_id"), "node")
-    texts = docs.withColumnRenamed("doc_id", "id").join(wanted, F.col("id").eqNullSafe(F.col("doc_id"))).select("text", "node")
-    sets = stored(texts.mapInArrow(_sets, "node binary, set binary").groupBy("node").agg(F.first("set").alias("set")), "sets")
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "row_file", "row_at"), "node")
+    sets = stored(docs.join(wanted, ["row_file", "row_at"]).select("text", "node").mapInArrow(_sets, "node binary, set binary"), "sets")
 
     leaders = buckets.where("leads").select("group", F.col("node").alias("a"))
     stars = buckets.where("not leads").select("group", F.col("node").alias("b")).join(leaders, "group").select("a", "b").where("a <> b").distinct()
@@ -211,28 +228,48 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     inside = sets.join(known, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")).join(clusters, "comp").select("group", "node", "comp")
     more = stored(_meet(inside, sets.select("node", F.col("set").alias("data")), set_hits), "more")
 
-    classes = components(links.union(comps.select("node", "label")).union(more)).select("node", "label")
-    named = nodes.select("node", "doc_id", "n_copies").join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = stored(named, "named")
-    least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = named.join(least, "label").select("node", "class_id", "n_copies")
-    linked = sketch.select("doc_id", "node").join(named, "node").select("doc_id", "class_id", "n_copies")
-    words = F.regexp_like(F.col("text"), F.lit("[0-9A-Za-z]|[^\\x00-\\x7F]"))
-    bare = docs.where(~F.coalesce(words, F.lit(False))).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"))
+    # what `more` joins are components of links: their labels alone are joined anew
+    joined = components(more).select(F.col("node").alias("comp"), F.col("label").alias("whole"))
+    classes = nodes.select("node", "n_copies").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    classes = classes.join(joined, "comp", "left").select("node", "n_copies", F.coalesce("whole", "comp").alias("label"))
+    return sketch.select("row_file", "row_at", "doc_id", "node"), stored(classes, "classes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, class_id, n_copies) for each row of docs, as the module describes.
+
+    class_id: the least doc_id of the class (the doc_id itself where it is alone); n_copies: rows of the same words. A null doc_id
+    counts as the largest. Other columns of docs aren't read.
+    """
+    rows, classes = classified(_with_key(docs, doc_id, text), doc_id, text)
+    least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(classes, "node")
+    least = stored(least, "least")
+    named = least.select("node", "label", "n_copies").join(least.groupBy("label").agg(F.min("least").alias("class_id")), "label").select("node", "class_id", "n_copies")
+    linked = rows.where("node is not null").join(named, "node").select("doc_id", "class_id", "n_copies")
+    bare = rows.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("n_copies"))
     return linked.union(bare)
 
 
+def _with_key(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    keyed, (row_file, row_at) = with_row_key(docs)
+    return keyed.select(F.col(row_file).alias("row_file"), F.col(row_at).alias("row_at"), F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document: its class of near copies."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class, all columns as they are: the first by doc_id, then text; a text without words always stays."""
-    classes = stored(near_duplicates(docs).select("doc_id", "class_id"), "classes")
-    kept = classes.where("doc_id <=> class_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return with_columns_of(rows, docs)
+    """Exactly one row of each class, all columns as they are: that of the least doc_id (null is the largest), of those the one whose
+    words have the least fingerprint, of those the first in the input's files. Rows without words always stay."""
+    keyed, names = with_row_key(docs)
+    rows, classes = classified(keyed.select(*[F.col(n).alias(a) for n, a in zip(names, ("row_file", "row_at"))], "doc_id", "text"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "node", "row_file", "row_at").alias("place")
+    best = rows.where("node is not null").groupBy("node").agg(F.min(place).alias("place")).join(classes, "node").groupBy("label").agg(F.min("place").alias("place"))
+    bare = rows.where("node is null").select("row_file", "row_at")
+    kept = stored(best.select("place.row_file", "place.row_at").union(bare).toDF(*names), "kept")
+    return with_columns_of(keyed.join(kept, names, "left_semi"), docs)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

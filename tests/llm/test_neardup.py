@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -13,8 +14,10 @@ from .conftest import ODD
 
 
 def shingles(text):
+    """The shingles of a text, each with the number of its occurrence."""
     w = [x for x in "".join(c if c.isalnum() else " " for c in text.lower()).split()]
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    found = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+    return {(s, k) for s, n in found.items() for k in range(n)}
 
 
 def classes_by_brute_force(texts):
@@ -48,6 +51,8 @@ def corpus(words):
             if rng.random() < 0.3:
                 base = own
     rng.shuffle(texts)
+    looped = words(30, 77)
+    texts += [" ".join(looped * 6), " ".join(looped * 6 + looped[:9]), " ".join(looped), " ".join(looped * 6)]
     return texts + ["one two", "One, two!", "one two three"]
 
 
@@ -64,10 +69,42 @@ def test_odd_rows(docs_of):
 
 
 def test_one_stays(docs_of):
-    docs = docs_of(["a b c d e f", "A b c d e f.", None, "", "g h i j k"]).withColumn("node", F.lit(1))
+    docs = docs_of(["a b c d e f", "A b c d e f.", None, "", "g h i j k"]).withColumn("node", F.lit(1)).withColumn("kept_id", F.lit("clash")).withColumn("row_at", F.lit(7))
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3, 4]
+    assert neardup.keep_one(docs_of([])).count() == 0
+
+
+def test_one_of_each_class_with_repeated_and_null_ids(docs_of, spark):
+    """Against brute force over the classes of the texts."""
+    a, b, c = "alpha beta gamma delta epsilon zeta eta", "one two three four five six", "red green blue cyan pink"
+    rows = [(1, a), (1, a), (1, b), (0, b), (None, b), (5, c), (None, c), (None, "lone"), (None, "lone"), (None, None), (None, None), (0, a + "!"), (0, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs_of([]).schema)
+    best = {}
+    for i, t in rows:
+        key = tuple(sorted(shingles(t or ""))) or None
+        if key:
+            best[key] = min(best.get(key, (True, 0)), (i is None, i or 0))
+    kept = sorted(((r.doc_id is None, r.doc_id or 0), (r.text or "").rstrip("!")) for r in neardup.keep_one(docs).collect())
+    assert len(kept) == len(best) + 3
+    assert sorted(k for k, t in kept if t) == sorted(best.values())
+
+
+@pytest.mark.parametrize("rows", [1, 5])
+def test_keep_one_equals_classes(docs_of, corpus, rows):
+    """One row of each class of brute force, the least id, when every row stands `rows` times."""
+    kept = [r.doc_id for r in neardup.keep_one(docs_of(corpus * rows, ids=list(range(len(corpus))) * rows)).collect()]
+    assert sorted(kept) == sorted(set(classes_by_brute_force(corpus)))
+
+
+def test_recall_on_documents(spark):
+    """Links of at least 0.8 among the small documents table, all found."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, shingles(r.text or "")) for r in docs.select("doc_id", "text").collect()]
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    links = [(i, j) for (i, x), (j, y) in combinations(rows, 2) if x and y and len(x & y) >= 0.8 * len(x | y)]
+    assert links and all(found[i] == found[j] for i, j in links)
 
 
 def test_signatures_estimate_weighted_similarity():
@@ -93,15 +130,19 @@ def test_signatures_ignore_order_and_how_far_was_thrown():
 
 def test_components(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 200), (None, 3)]
-    found = {r.node: r.label for r in components(spark.createDataFrame(path, "a long, b long")).collect()}
-    assert found == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 200: 200}
+    cycle = [(300 + i, 300 + (i + 1) % 9) for i in range(9)]
+    found = {r.node: r.label for r in components(spark.createDataFrame(path + cycle, "a long, b long")).collect()}
+    assert found == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 200: 200, **dict.fromkeys(range(300, 309), 300)}
 
 
 def test_tiles_lose_no_link(spark, words):
     """A large bucket whose members are chained: the tiles join what brute force joins."""
     base = words(100, 3)
     texts = [" ".join([*base[: i // 4], *(f"z{j}" for j in range(i // 4)), *base[i // 4 :]]) for i in range(60)]
-    sets = [np.unique(ta.shingles(ta.Words([t.encode()]))[0]).tobytes() for t in texts]
+    sets = []
+    for t in texts:
+        hashes, _, counts, _ = neardup.shingle_sets([t.encode()])
+        sets.append(neardup.expanded(hashes, counts))
     hits = neardup.set_hits(sets, sets)
     want = np.array([[len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)) for b in texts] for a in texts])
     assert (hits == want).all()
