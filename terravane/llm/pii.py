@@ -1,17 +1,21 @@
 """Personal data: identifiers as written, and identifiers in disguise, with offsets into the source text.
 
-Base spans are what four fixed patterns find in the text itself. For the rest a transducer rewrites the text: homoglyphs and
+Base spans are what four fixed patterns find in the text itself. For the rest transducers rewrite the text: homoglyphs and
 full-width forms become ASCII, invisible characters vanish, spelled digits become digits, and "at", "dot" and "plus" in brackets or
-between the parts of an address become their signs. Each rewritten piece keeps the bounds of its source, so a span found in
-the rewritten text maps back to code points of the source. A found span that meets no base span of its kind is added, and so is a
-phone number of which the base span lacks the end, as that is spelled. Dots in disguise between digit groups are undone too.
+between the parts of an address become their signs, in English, Spanish, French and German. Each rewritten piece keeps the bounds of
+its source, so a span found in the rewritten text maps back to code points of the source. A found span that meets no base span of its
+kind is added, and so is a phone number of which the base span lacks the end, as that is spelled.
 
-Edge cases: a null text is an empty one. Work is linear in the text: no pattern is retried inside a run that has failed it.
-Repeated rows are treated alike, each by itself.
+Each transducer passes once from left to right. One goes over digits and number words: what stands between two of them is a few
+characters, looked at once, and either continues the run or ends it. The other goes over signs for @: from each it walks back over the local
+part, never past the sign before, and on over the domain. So work is linear in the text.
+
+Edge cases: a null text is an empty one. Repeated rows are treated alike, each by itself. The counts are of base spans only.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -86,32 +90,48 @@ HOMOGLYPHS |= {chr(0xFEE0 + c): chr(c) for c in range(0x21, 0x7F)}
 for _first in (0x0660, 0x06F0, 0x0966, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6):
     HOMOGLYPHS |= {chr(_first + d): str(d) for d in range(10)}
 INVISIBLE = "­​‌‍⁠﻿"
-#: Digits as words.
-SPELLED = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
-_WORD = "|".join(sorted(SPELLED, key=len, reverse=True))
-_NUMBER = rf"(?:{_WORD}|[0-9])"
-#: Runs of two digit groups or more of which one is spelled; the gaps between digits vanish, dots stay.
-_BARE_DOT = r"[(\[{<][\x20]?(?:dot|\.)[\x20]?[)\]}>]|[(\[{]?\bdot\b[)\]}]?"
-_GAP = rf"(?:[\x20,-]{{1,2}}|[\x20]?(?:\.|{_BARE_DOT})[\x20]?)"
-#: Before a run's only spelled digit, if that ends it: no gap that may end a clause.
-_CLOSE_GAP = rf"(?:[\x20-]{{1,2}}|,|\.|[\x20]\.[\x20]|[\x20]?(?:{_BARE_DOT})[\x20]?)"
-_END = "(?![A-Za-z0-9])"
-_TAIL = rf"(?:{_GAP}(?:{_WORD}|[0-9]++){_END})"
-RUN = rf"(?<![A-Za-z0-9])(?:plus[\x20]|\+[\x20]?)?(?:(?:[0-9]++{_GAP}){{0,18}}(?:{_WORD}){_TAIL}++|(?:[0-9]++{_GAP}){{0,18}}[0-9]++{_CLOSE_GAP}(?:{_WORD}){_END})"
-_AT = r"(?:[\x20]?[(\[{<][\x20]?(?:at|@)[\x20]?[)\]}>][\x20]?|[\x20]@[\x20]|@)"
-_SPOKEN_DOT = r"(?:[\x20]?[(\[{<][\x20]?(?:dot|\.)[\x20]?[)\]}>][\x20]?|[\x20]dot[\x20])"
-_DOT = rf"(?:{_SPOKEN_DOT}|\.)"
-#: "at" as a bare word counts only where the domain's dots are disguised too.
-ADDRESS = rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)*?(?:{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+|[\x20]at[\x20][A-Za-z0-9-]++(?:{_SPOKEN_DOT}[A-Za-z0-9-]++)+)"
-#: A dotted run without an address is passed over whole: none starts inside it.
-RUNS, ADDRESSES = re.compile(RUN, re.I), re.compile(rf"(?P<address>{ADDRESS})|(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]++(?:{_DOT}[A-Za-z0-9_%+-]++)++", re.I)
-PIECES = re.compile(rf"(?P<at>{_AT}|[\x20]at[\x20])|(?P<dot>{_DOT})", re.I)
-DIGITS = re.compile(rf"(?P<plus>plus[\x20]|\+[\x20]?)|(?P<word>{_WORD})|(?P<dot>[\x20]?(?:\.|{_BARE_DOT})[\x20]?)|(?P<gap>[\x20,-]+)", re.I)
-#: Disguised dots between groups of digits.
-DIGIT_DOTS = re.compile(rf"(?<=[0-9]){_SPOKEN_DOT}(?=[0-9])", re.I)
+# Words for digits and signs, in four languages.
+NUMBER_WORDS = [
+    ["zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"],
+    ["cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"],
+    ["zéro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"],
+    ["null", "eins", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun"],
+]
+SPELLED = {word: str(digit) for words in NUMBER_WORDS for digit, word in enumerate(words)} | {"oh": "0", "zwo": "2", "fuenf": "5"}
+DOT_WORDS = ["dot", "punto", "point", "punkt"]
+AT_WORDS = ["at", "arroba", "arobase", "klammeraffe"]
+PLUS_WORDS = ["plus", "más", "mas"]
+#: This word for @ means other things too: without brackets it counts only where the domain's dots are disguised.
+COMMON_AT = "at"
+
+_one_of = lambda words: "|".join(sorted(words, key=len, reverse=True))
+_WORD, _DOT, _AT = _one_of(SPELLED), _one_of(DOT_WORDS), _one_of(AT_WORDS)
+_IN_BRACKETS = r"[\x20]?[(\[{{<][\x20]?(?:{0})[\x20]?[)\]}}>][\x20]?"
+_SPOKEN_DOT = rf"(?:{_IN_BRACKETS.format(_DOT + '|' + chr(92) + '.')}|[\x20](?:{_DOT})[\x20])"
+AT = re.compile(rf"{_IN_BRACKETS.format(_AT + '|@')}|[\x20](?:{_AT}|@)[\x20]|@", re.I)
+DOT = re.compile(rf"{_SPOKEN_DOT}|\.", re.I)
+DOT_BEFORE = re.compile(rf"(?:{_SPOKEN_DOT}|\.)\Z", re.I)
+ATOM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+LABEL = re.compile(r"[A-Za-z0-9-]+")
+
+#: A group of digits or a number word.
+GROUP = re.compile(rf"(?<![A-Za-z0-9])[0-9]++(?![A-Za-z0-9])|(?<!\w)(?:{_WORD})(?!\w)", re.I)
+_BARE_DOT = rf"[(\[{{<][\x20]?(?:{_DOT}|\.)[\x20]?[)\]}}>]|[(\[{{]?\b(?:{_DOT})\b[)\]}}]?"
+#: What may stand between groups of a run; the gap vanishes or is a dot.
+GAP = re.compile(rf"[\x20,-]{{1,2}}|(?P<dot>[\x20]?(?:\.|{_BARE_DOT})[\x20]?)", re.I)
+#: The same before a run's only number word, if that ends the run: no gap that may end a clause.
+CLOSE_GAP = re.compile(rf"[\x20-]{{1,2}}|,|\.|[\x20]\.[\x20]|[\x20]?(?:{_BARE_DOT})[\x20]?", re.I)
+PLUS_BEFORE = re.compile(rf"(?:(?<!\w)(?:{_one_of(PLUS_WORDS)})[\x20]|\+[\x20]?)\Z", re.I)
+#: Characters that a sign or gap, and a plus, take at most.
+LONGEST_GAP = 4 + max(map(len, DOT_WORDS)) + 1
+LONGEST_PLUS = max(map(len, PLUS_WORDS)) + 1
 #: Without any of these a rewritten text equals the source.
 GLYPHS = re.compile("[" + re.escape("".join(HOMOGLYPHS)) + INVISIBLE + "]")
-SPOKEN = re.compile(rf"[(\[{{<\x20](?:at|@)[)\]}}>\x20]|\b(?:{_WORD})[\x20,.-]{{1,2}}{_NUMBER}|[0-9][\x20,.-]{{1,2}}(?:{_WORD})\b|[(\[{{<\x20](?:dot|\.)[)\]}}>\x20]", re.I)
+#: A lower-cased text has no sign in disguise without one of these, and no disguised number without a word of NUMBERS next to a group.
+SIGNS = [*DOT_WORDS, *(w for w in AT_WORDS if w != COMMON_AT), " @ ", *(f"{b}{gap}{x}" for b in "([{<" for gap in ("", " ") for x in ("at", "@", "."))]
+NUMBERS = sorted(SPELLED)
+GROUP_AFTER = re.compile(rf"[\x20,.-]{{1,2}}(?:[0-9]|(?:{_WORD})(?!\w))|[\x20]?[(\[{{<]")
+GROUP_BEFORE = re.compile(r"[0-9][\x20,.-]{1,2}\Z|[)\]}>][\x20]?\Z")
 
 
 class Rewritten:
@@ -172,32 +192,104 @@ class Rewritten:
         return self.lows[i], self.highs[i]
 
 
-def _digits(run: str) -> str:
-    return DIGITS.sub(lambda m: "+" if m["plus"] else SPELLED[m["word"].lower()] if m["word"] else "." if m["dot"] else "", run)
+def addresses(text: str) -> list[tuple[int, int, list[tuple[int, int, str]]]]:
+    """Addresses in disguise: start, end, and the edits that make them plain."""
+    found, low = [], 0
+    for sign in AT.finditer(text):
+        at, start, signs = sign.start(), sign.start(), []
+        while True:
+            atom = start
+            while atom > low and text[atom - 1] in ATOM:
+                atom -= 1
+            if atom == start:
+                break
+            start = atom
+            dot = DOT_BEFORE.search(text, max(low, atom - LONGEST_GAP), atom)
+            if not dot or dot.start() <= low or text[dot.start() - 1] not in ATOM:
+                break
+            signs.append(dot.span())
+            start = dot.start()
+        low = sign.end()
+        label = LABEL.match(text, low)
+        if start == at or not label:
+            continue
+        bare, end, dots = sign.group().strip().lower() == COMMON_AT, label.end(), []
+        while (dot := DOT.match(text, end)) and not (bare and dot.group() == ".") and (label := LABEL.match(text, dot.end())):
+            dots.append(dot.span())
+            end = label.end()
+        signs += dots
+        if dots and (sign.group() != "@" or any(text[a:b] != "." for a, b in signs)):
+            found.append((start, end, sorted([(*sign.span(), "@"), *((a, b, ".") for a, b in signs)])))
+            low = end
+    return found
+
+
+@functools.lru_cache(4096)
+def _gap(between: str) -> str | None:
+    m = GAP.fullmatch(between)
+    return None if not m else "." if m["dot"] else ""
+
+
+def _run_edits(text: str, run: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """What makes a run of groups plain. A gap lies between each two of them."""
+    words = [not text[a].isdigit() for a, _ in run]
+    if len(run) > 1 and sum(words) == 1 and words[-1] and not CLOSE_GAP.fullmatch(text[run[-2][1] : run[-1][0]]):
+        run, words = run[:-1], words[:-1]
+    if len(run) < 2:
+        return []
+    gaps = [(a, b, _gap(text[a:b])) for (_, a), (b, _) in zip(run, run[1:])]
+    if not any(words):
+        return [(a, b, ".") for a, b, kind in gaps if kind and text[a:b] != "."]
+    plus = PLUS_BEFORE.search(text, max(0, run[0][0] - LONGEST_PLUS), run[0][0])
+    return sorted([*([(*plus.span(), "+")] if plus else []), *gaps, *((a, b, SPELLED[text[a:b].lower()]) for (a, b), word in zip(run, words) if word)])
+
+
+def run_edits(text: str, apart: list[tuple[int, int]]) -> list[tuple[int, int, str]]:
+    """Edits of all runs of digits and number words outside the spans `apart`."""
+    edits: list[tuple[int, int, str]] = []
+    run: list[tuple[int, int]] = []
+    k = 0
+    for m in GROUP.finditer(text):
+        a, b = m.span()
+        while k < len(apart) and apart[k][1] <= a:
+            k += 1
+        inside = k < len(apart) and apart[k][0] < b
+        if run and (inside or a - run[-1][1] > LONGEST_GAP or _gap(text[run[-1][1] : a]) is None):
+            edits += _run_edits(text, run)
+            run = []
+        if not inside:
+            run.append((a, b))
+    return edits + _run_edits(text, run)
+
+
+def _has_numbers(low: str) -> bool:
+    """Whether a number word of a lower-cased text stands next to another group of digits, or a bracket."""
+    for word in NUMBERS:
+        at = low.find(word)
+        while at >= 0:
+            end = at + len(word)
+            if not (at and low[at - 1].isalnum()) and not low[end : end + 1].isalnum() and (GROUP_AFTER.match(low, end) or GROUP_BEFORE.search(low, max(0, at - 3), at)):
+                return True
+            at = low.find(word, end)
+    return False
 
 
 def rewrite(text: str) -> Rewritten | None:
     """The text without disguises; None where nothing is disguised."""
-    glyphs = GLYPHS.search(text)
-    if not glyphs and not SPOKEN.search(text):
-        return None
+    glyphs = None if text.isascii() else GLYPHS.search(text)
     out = Rewritten(text)
     if glyphs:
         out.apply([(m.start(), m.end(), HOMOGLYPHS.get(m.group(), "")) for m in GLYPHS.finditer(text)])
-    addresses, inside, runs = [m.span() for m in ADDRESSES.finditer(out.text) if m["address"]], 0, []
-    for m in RUNS.finditer(out.text):
-        while inside < len(addresses) and addresses[inside][1] <= m.end():
-            inside += 1
-        # a part of an address before its end is left to the address
-        if inside == len(addresses) or m.start() < addresses[inside][0]:
-            runs.append((m.start(), m.end(), _digits(m.group())))
-    out.apply(runs)
-    edits = []
-    for m in ADDRESSES.finditer(out.text):
-        for p in PIECES.finditer(m["address"] or ""):
-            edits.append((m.start() + p.start(), m.start() + p.end(), "@" if p["at"] else "."))
-    out.apply(edits)
-    out.apply([(m.start(), m.end(), ".") for m in DIGIT_DOTS.finditer(out.text)])
+    low = out.text.lower()
+    signs = any(sign in low for sign in SIGNS)
+    numbers = _has_numbers(low)
+    if not glyphs and not signs and not numbers:
+        return None
+    found = addresses(out.text) if signs else []
+    edits = [e for _, _, own in found for e in own]
+    if signs or numbers:
+        edits += run_edits(out.text, [(a, b) for a, b, _ in found])
+    out.apply(sorted(edits))
     return out
 
 
@@ -214,7 +306,13 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     extra = []
     for kind, a, b in base_spans(out.text):
         low, high = out.source(a)[0], out.source(b - 1)[1]
-        met = [(x, y) for x, y in taken[kind] if x < high and low < y]
+        own = taken[kind]  # apart from each other, and in order
+        met = []
+        for i in range(max(0, bisect_right(own, (low, low)) - 1), len(own)):
+            if own[i][0] >= high:
+                break
+            if low < own[i][1]:
+                met.append(own[i])
         longer = kind == "phone" and all(low <= x and y < high for x, y in met)  # the base span lacks the spelled end
         if out.text[a:b] == text[low:high] or met and not longer:
             continue  # not in disguise, or a base span already

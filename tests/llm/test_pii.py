@@ -76,6 +76,77 @@ def test_disguises_in_part(text, kind, found):
     assert (kind, found) in [(k, text[a:b]) for k, a, b in pii.all_spans(text)[1]]
 
 
+@pytest.mark.parametrize(
+    "text,kind,found",
+    [
+        ("juan arroba ejemplo punto com", "email", "juan arroba ejemplo punto com"),
+        ("hans at beispiel punkt de", "email", "hans at beispiel punkt de"),
+        ("écrire à luc.martin [arobase] exemple (point) fr !", "email", "luc.martin [arobase] exemple (point) fr"),
+        ("eva klammeraffe post.example.de", "email", "eva klammeraffe post.example.de"),
+        ("tel plus trois trois six un deux trois quatre cinq six sept huit fin", "phone", "plus trois trois six un deux trois quatre cinq six sept huit"),
+        ("llame al más tres cuatro seis uno dos tres cuatro cinco seis siete ocho", "phone", "más tres cuatro seis uno dos tres cuatro cinco seis siete ocho"),
+        ("plus vier neun eins fünf eins zwei drei vier fünf sechs sieben", "phone", "plus vier neun eins fünf eins zwei drei vier fünf sechs sieben"),
+        ("eins neun zwei punkt eins sechs acht punkt null punkt eins", "ip", "eins neun zwei punkt eins sechs acht punkt null punkt eins"),
+        ("cuatro uno uno uno 1111 1111 uno uno uno uno", "card", "cuatro uno uno uno 1111 1111 uno uno uno uno"),
+    ],
+)
+def test_four_languages(text, kind, found):
+    assert (kind, found) in [(k, text[a:b]) for k, a, b in pii.all_spans(text)[1]]
+
+
+@pytest.mark.parametrize("text", ["un point de vue de six", "dos o tres puntos, un punto", "acht von neun Punkt zwei", "un, deux, trois, quatre", "il est arrivé at home point final"])
+def test_prose_in_other_languages_is_left_alone(text):
+    assert pii.all_spans(text) == ([], [])
+
+
+def seconds(text):
+    took = []
+    for _ in range(3):
+        began = time.process_time()
+        pii.all_spans(text)
+        took.append(time.process_time() - began)
+    return min(took)
+
+
+REPEATED = [
+    (lambda n: "a dot " * n), (lambda n: "a (dot) " * n), (lambda n: "one " * n + "onex"), (lambda n: "a at " * n), (lambda n: "a dot b at " * n), (lambda n: "x@y " * n), (lambda n: "a[at]b[dot]" * n),
+    (lambda n: "1 dot " * n), (lambda n: "one, " * n), (lambda n: "a." * n + "@"), (lambda n: "joe at b dot com " * n), (lambda n: "+1 415 555 267 one " * n), (lambda n: "ａ" * n + " at "), (lambda n: "4111 1111 1111 111 one " * n),
+]
+
+
+@pytest.mark.parametrize("k", range(len(REPEATED)))
+def test_work_is_linear(k):
+    """Eight times the text would take 64 times the time if work were quadratic."""
+    a, b = seconds(REPEATED[k](5_000)), seconds(REPEATED[k](40_000))
+    assert b < 24 * a + 0.1
+
+
+def slow_addresses(text):
+    """Spans of disguised addresses by trying every start and end."""
+    atom, dot, at = r"[A-Za-z0-9_%+-]+", rf"(?:{pii._SPOKEN_DOT}|\.)", rf"(?:{pii.AT.pattern})"
+    plain = re.compile(rf"{atom}(?:{dot}{atom})*(?P<at>{at})[A-Za-z0-9-]+(?:{dot}[A-Za-z0-9-]+)+", re.I)
+    out = []
+    for a in range(len(text)):
+        if a and text[a - 1] in pii.ATOM:
+            continue
+        for b in range(len(text), a, -1):
+            if m := plain.fullmatch(text, a, b):
+                out.append((a, b, m))
+                break
+    return out
+
+
+@given(st.lists(st.sampled_from(["a", "b1", ".", " dot ", "[.]", "@", " arroba ", "(at)", " ", "x-y", ","]), max_size=12).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_addresses_equal_brute_force(text):
+    """Every address found is one by the plain pattern, and a text with exactly one sign and such an address has it found."""
+    want = slow_addresses(text)
+    for a, b, _ in pii.addresses(text):
+        assert any(x <= a and b == y for x, y, _ in want)
+    if len(pii.AT.findall(text)) == 1 and want and any(m["at"] != "@" for _, _, m in want):
+        assert pii.addresses(text)
+
+
 @pytest.mark.parametrize("text", ["release 1.2.3. One of them", "pages 12, one of 3", "3 dot 5 and 7 dot 2", "in 2019 one in 4 came"])
 def test_digits_in_prose_are_left_alone(text):
     assert pii.all_spans(text) == ([], [])
