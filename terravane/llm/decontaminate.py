@@ -1,15 +1,15 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is kept in segments. A segment holds some megabytes of whole documents: its terms (64-bit word hashes, sorted), and for
-each term the ascending positions of its words. Segments are rows of a table in the shared folder, so building and
-searching need no shuffle and a lost executor costs one task. A query window starts from its rarest term in the segment:
-that term's positions, less its offset in the window, are intersected with the offset-adjusted lists of the other terms,
-rarest first. Proximity matches widen the same look-up to a distance.
+The index is kept in segments. A segment holds about a megabyte of whole documents: its terms (64-bit word hashes, sorted), and for
+each term the ascending positions of all its words. Segments are rows of a table in the shared folder, so building and
+searching need no shuffle, a lost executor costs one task, and one index serves any number of benchmarks. A query window starts from
+its rarest term in the segment: that term's positions, less its offset in the window, are intersected with the offset-adjusted lists of
+the other terms, rarest first. Proximity matches start from the rarest term too: some SPAN consecutive words of the text hold all
+words of the window, in any order.
 
 Windows are 10 consecutive words of a benchmark item; an item of fewer words, but not none, is one window. Words are runs of
-digits, letters and everything beyond ASCII in the text with A-Z lower-cased. Benchmark texts come to the tasks in blocks of
-at most BLOCK_BYTES (or one item), so their size is bounded; more blocks are searched one after the other, and all count. While
-the benchmark is one block, postings of words outside its vocabulary are not stored, since no window can ask for them.
+digits, letters and everything beyond ASCII in the text with A-Z lower-cased. Benchmark texts come to the driver and to the tasks in
+blocks of at most BLOCK_BYTES (or one item), one at a time; the hits of each block are stored, and all count.
 
 Edge cases: null and wordless texts have no words and are never hit; such items have no windows. Repeated documents are rows
 of their own; repeated item ids count once. A null item id reads "null". An empty benchmark leaves every document clean.
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
-from terravane.llm.jobs import read_table, stored, with_columns_of
+from terravane.llm.jobs import read_table, stored, with_columns_of, with_row_key
+from terravane.llm.slicecache import spread
 
 WINDOW = 10
+#: Consecutive words that hold all words of a window in a proximity match.
+SPAN = 20
 BLOCK_BYTES = 8 << 20
 
 
@@ -43,7 +45,7 @@ class Queries:
 
     @property
     def vocabulary(self) -> np.ndarray:
-        return np.unique(np.concatenate([w.reshape(-1) for w in self.windows])) if self.windows else np.zeros(0, np.uint64)
+        return np.sort(np.concatenate([w.reshape(-1) for w in self.windows])) if self.windows else np.zeros(0, np.uint64)
 
 
 def queries_of(item_ids: list, parts: list[bytes], size: int = WINDOW) -> Queries:
@@ -60,7 +62,7 @@ def queries_of(item_ids: list, parts: list[bytes], size: int = WINDOW) -> Querie
 
 
 def query_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, size: int = WINDOW) -> Iterator[Queries]:
-    """The items in blocks of about block_bytes, each collected by itself."""
+    """The items in blocks of about block_bytes, each collected when it is asked for."""
     items = benchmark.select("item_id", F.coalesce(F.col("text"), F.lit("")).cast("string").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
@@ -79,27 +81,29 @@ class Segment:
     bounds: np.ndarray
 
     @classmethod
-    def build(cls, parts: list[bytes], vocabulary: np.ndarray | None) -> Segment:
+    def build(cls, parts: list[bytes]) -> Segment:
         words = ta.Words(parts)
-        hashes, at = words.hashes, np.arange(len(words.hashes))
-        if vocabulary is not None:
-            if len(vocabulary):
-                known = vocabulary[np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)] == hashes
-            else:
-                known = np.zeros(len(hashes), bool)
-            hashes, at = hashes[known], at[known]
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
+        order = np.argsort(words.hashes, kind="stable")
+        hashes = words.hashes[order]
         first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
-        return cls(hashes[first], np.concatenate([first, [len(hashes)]]), at[order], words.bounds)
+        return cls(hashes[first], np.concatenate([first, [len(hashes)]]), order, words.bounds)
 
-    def packed(self) -> tuple[bytes, bytes, bytes, bytes]:
+    def packed(self) -> tuple[bytes, bytes, bytes]:
         gaps = np.diff(self.positions, prepend=0)  # wraps where a list begins; the running sum undoes it
-        return self.terms.tobytes(), self.offsets.astype("<i8").tobytes(), gaps.astype("<i4").tobytes(), self.bounds.astype("<i8").tobytes()
+        return self.terms.tobytes(), np.diff(self.offsets).astype("<i4").tobytes(), gaps.astype("<i4").tobytes()
 
     @classmethod
-    def unpacked(cls, terms: bytes, offsets: bytes, gaps: bytes, bounds: bytes) -> Segment:
-        return cls(np.frombuffer(terms, np.uint64), np.frombuffer(offsets, "<i8"), np.cumsum(np.frombuffer(gaps, "<i4"), dtype=np.int64), np.frombuffer(bounds, "<i8"))
+    def unpacked(cls, terms: bytes, sizes: bytes, gaps: bytes, n_words: np.ndarray) -> Segment:
+        ends = [np.concatenate([[0], np.cumsum(x, dtype=np.int64)]) for x in (np.frombuffer(sizes, "<i4"), n_words)]
+        return cls(np.frombuffer(terms, np.uint64), ends[0], np.cumsum(np.frombuffer(gaps, "<i4"), dtype=np.int64), ends[1])
+
+    def of_terms(self, vocabulary: np.ndarray) -> Segment:
+        """The postings of the terms in a sorted vocabulary alone."""
+        if not len(vocabulary):
+            return Segment(self.terms[:0], self.offsets[:1], self.positions[:0], self.bounds)
+        known = np.flatnonzero(vocabulary[np.minimum(np.searchsorted(vocabulary, self.terms), len(vocabulary) - 1)] == self.terms)
+        sizes = np.diff(self.offsets)[known]
+        return Segment(self.terms[known], np.concatenate([[0], np.cumsum(sizes)]), self.positions[spread(self.offsets[known], sizes)], self.bounds)
 
     def _present(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indices of windows that have all their terms here, and the terms' places, rarest first, as (place, offset) pairs."""
@@ -114,9 +118,11 @@ class Segment:
     def _lists(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The postings of the given terms, one after the other, and for each posting its index in place."""
         n = np.diff(self.offsets)[place]
-        of = np.repeat(np.arange(len(place)), n)
-        inner = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        return self.positions[self.offsets[place][of] + inner], of
+        return self.positions[spread(self.offsets[place], n)], np.repeat(np.arange(len(place)), n)
+
+    def _keyed(self, span: int) -> np.ndarray:
+        """All postings as term * span + position, ascending."""
+        return np.repeat(np.arange(len(self.terms)), np.diff(self.offsets)) * span + self.positions
 
     def phrases(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Exact matches: (window, first word) pairs."""
@@ -128,7 +134,7 @@ class Segment:
         fits = (starts >= 0) & (text >= 0) & (starts + size <= self.bounds[np.clip(text + 1, 0, len(self.bounds) - 1)])
         starts, of = starts[fits], of[fits]
         span = int(self.bounds[-1]) + size + 1
-        lists = np.repeat(np.arange(len(self.terms)), np.diff(self.offsets)) * span + self.positions
+        lists = self._keyed(span)
         for i in range(1, size):
             if not len(starts):
                 break
@@ -137,125 +143,153 @@ class Segment:
             starts, of = starts[hit], of[hit]
         return whole[of], starts
 
-    def near(self, windows: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
-        """Proximity matches: (window, word) pairs where every term of the window has a word within reach of this word of its
-        rarest term, in the same text."""
+    def near(self, windows: np.ndarray, reach: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+        """Proximity matches: (window, word) pairs where some `reach` consecutive words of the word's text, this word of the window's
+        rarest term among them, hold all terms of the window."""
         whole, terms = self._present(windows)
         centre, of = self._lists(terms[:, 0, 0]) if len(whole) else (np.zeros(0, np.int64),) * 2
         span = int(self.bounds[-1]) + 2 * reach + 2
-        lists = np.repeat(np.arange(len(self.terms)), np.diff(self.offsets)) * span + self.positions
-        for i in range(1, windows.shape[1]):
+        lists = self._keyed(span)
+
+        def holds(low: np.ndarray, high: np.ndarray, of: np.ndarray, i: int) -> np.ndarray:
+            at = np.searchsorted(lists, terms[of, i, 0] * span + low)
+            return (at < len(lists)) & (lists[np.minimum(at, len(lists) - 1)] <= terms[of, i, 0] * span + high)
+
+        text = np.searchsorted(self.bounds, centre, side="right") - 1
+        first, last = self.bounds[text], self.bounds[np.minimum(text + 1, len(self.bounds) - 1)] - 1
+        for i in range(1, windows.shape[1]):  # every term within reach at all
             if not len(centre):
                 break
-            text = np.searchsorted(self.bounds, centre, side="right") - 1
-            low = np.maximum(centre - reach, self.bounds[text])
-            high = np.minimum(centre + reach, self.bounds[text + 1] - 1)
-            at = np.searchsorted(lists, terms[of, i, 0] * span + low)
-            hit = (at < len(lists)) & (lists[np.minimum(at, len(lists) - 1)] <= terms[of, i, 0] * span + high)
-            centre, of = centre[hit], of[hit]
-        return whole[of], centre
+            hit = holds(np.maximum(centre - reach + 1, first), np.minimum(centre + reach - 1, last), of, i)
+            centre, of, first, last = centre[hit], of[hit], first[hit], last[hit]
+        found = np.zeros(len(centre), bool)
+        for back in range(reach):
+            some = np.flatnonzero(~found & (centre - back >= first))
+            for i in range(1, windows.shape[1]):
+                low = centre[some] - back
+                some = some[holds(low, np.minimum(low + reach - 1, last[some]), of[some], i)]
+            found[some] = True
+        return whole[of[found]], centre[found]
+
 
+INDEX = "row_file array<long>, row_at array<long>, doc_id array<long>, n_words array<long>, terms binary, sizes binary, gaps binary"
 
-def build_index(docs: DataFrame, vocabulary: np.ndarray | None = None, text: str = "text") -> DataFrame:
-    """Segments of docs as a table in the shared folder. vocabulary: sorted hashes of the only terms to store; None: all."""
+
+def build_index(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Segments of docs, with all their postings, as a table in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ta.slices(batches):
-            fields = Segment.build(ta.pieces(batch.column(1)), vocabulary).packed()
-            ids = pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64()))
-            yield pa.record_batch([ids, *[pa.array([f], pa.binary()) for f in fields]], names=["doc_ids", "terms", "offsets", "gaps", "bounds"])
+        for batch in ta.slices(batches, max_bytes=1 << 20):
+            segment = Segment.build(ta.pieces(batch.column(3)))
+            keys = [pa.array([c.to_pylist()], pa.list_(pa.int64())) for c in (*batch.columns[:3], pa.array(np.diff(segment.bounds)))]
+            yield pa.record_batch([*keys, *[pa.array([f], pa.binary()) for f in segment.packed()]], names=["row_file", "row_at", "doc_id", "n_words", "terms", "sizes", "gaps"])
 
-    index = docs.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).mapInArrow(run, "doc_ids array<long>, terms binary, offsets binary, gaps binary, bounds binary")
-    return stored(index.withColumn("segment", F.monotonically_increasing_id()), "postings")
+    keyed, names = with_row_key(docs)
+    rows = keyed.select(*[F.col(n).alias(a) for n, a in zip(names, ("row_file", "row_at"))], F.col("doc_id").cast("long"), F.col(f"`{text}`").alias("text"))
+    return stored(rows.mapInArrow(run, INDEX).withColumn("segment", F.monotonically_increasing_id()), "postings")
 
 
-def matches(segment: Segment, queries: Queries, reach: int | None = None) -> dict[int, tuple[list[tuple[int, int]], set[str]]]:
-    """For each text with matches: word spans relative to the text, and the item ids. reach: proximity instead of phrases."""
-    out: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
-    for windows, items in zip(queries.windows, queries.items):
-        which, starts = segment.phrases(windows) if reach is None else segment.near(windows, reach)
-        texts = np.searchsorted(segment.bounds, starts, side="right") - 1
-        size = windows.shape[1] if reach is None else 1
-        for w, s, t in zip(which.tolist(), starts.tolist(), texts.tolist()):
-            spans, names = out.setdefault(t, ([], set()))
-            low = s - int(segment.bounds[t])
-            spans.append((low, low + size))
-            names.update(queries.names[k] for k in items[w])
-    return out
+@dataclass
+class Hits:
+    """Of the texts of a segment: disjoint spans of hit words, and the items hit, each with the text's index."""
+
+    spans: list[np.ndarray]
+    items: list[np.ndarray]
+    near: list[np.ndarray]
 
 
-def search(index: DataFrame, queries: Queries, reach: int | None = None) -> DataFrame:
-    """(segment, slot, doc_id, n_words, starts, ends, items) for each document; spans are one word wide if reach is given."""
+def matches(segment: Segment, queries: Queries) -> Hits:
+    """spans: (text, start, end) relative to the text; items and near: distinct (text, item) of exact and of proximity matches."""
+    n, texts = int(segment.bounds[-1]), len(segment.bounds) - 1
+    edges, pairs = np.zeros(n + 1, np.int64), ([], [])
+    segment = segment.of_terms(queries.vocabulary)
+    for windows, items in zip(queries.windows, queries.items):
+        sizes = np.fromiter(map(len, items), np.int64, len(items))
+        flat = np.fromiter((i for own in items for i in own), np.int64, int(sizes.sum()))
+        begins = np.cumsum(sizes) - sizes
+        exact = segment.phrases(windows)
+        edges += np.bincount(exact[1], minlength=n + 1) - np.bincount(exact[1] + windows.shape[1], minlength=n + 1)
+        for out, (which, at) in zip(pairs, (exact, segment.near(windows))):
+            text = np.searchsorted(segment.bounds, at, side="right") - 1
+            both = np.repeat(text, sizes[which]) * len(queries.names) + flat[spread(begins[which], sizes[which])]
+            out.append(np.unique(both))
+    hit = np.cumsum(edges[:-1]) > 0
+    change = np.zeros(n + 1, bool)
+    change[1:-1] = hit[1:] != hit[:-1]
+    change[segment.bounds] = True  # spans end with their text
+    cuts = np.flatnonzero(change)
+    full = np.flatnonzero(hit[cuts[:-1]]) if n else np.zeros(0, np.int64)
+    text = np.searchsorted(segment.bounds, cuts[:-1][full], side="right") - 1
+    low = segment.bounds[text] if n else text
+    spans = [text, cuts[:-1][full] - low, cuts[1:][full] - low] if n else [text] * 3
+    named = [np.unique(np.concatenate(p)) if p else np.zeros(0, np.int64) for p in pairs]
+    width = max(1, len(queries.names))
+    return Hits(spans, *([x // width, x % width] for x in named)) if texts else Hits([text] * 3, [text] * 2, [text] * 2)
+
+
+HITS = "segment long, slot int, starts array<long>, ends array<long>, items array<string>, near array<string>"
+
+
+def search(index: DataFrame, queries: Queries) -> DataFrame:
+    """HITS: a row for each text that a window matches, exactly or by proximity; slot is its place in the segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                segment = Segment.unpacked(row["terms"], row["offsets"], row["gaps"], row["bounds"])
-                found = matches(segment, queries, reach)
-                n = len(row["doc_ids"])
-                spans = [sorted(found[i][0]) if i in found else [] for i in range(n)]
-                columns = [
-                    pa.array([row["segment"]] * n, pa.int64()),
-                    pa.array(range(n), pa.int32()),
-                    pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(np.diff(segment.bounds)),
-                    pa.array([[a for a, _ in s] for s in spans], pa.list_(pa.int64())),
-                    pa.array([[b for _, b in s] for s in spans], pa.list_(pa.int64())),
-                    pa.array([sorted(found[i][1]) if i in found else [] for i in range(n)], pa.list_(pa.string())),
-                ]
-                yield pa.record_batch(columns, names=["segment", "slot", "doc_id", "n_words", "starts", "ends", "items"])
-
-    return index.mapInArrow(run, "segment long, slot int, doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>")
-
-
-def covered(starts: list[int], ends: list[int]) -> int:
-    """Words in the union of spans."""
-    total, done = 0, 0
-    for a, b in sorted(zip(starts, ends)):
-        total += max(0, b - max(a, done))
-        done = max(done, b)
-    return total
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        doc_id, n_words, starts, ends, items = batch.columns[-5:]
-        hits = [covered(a, b) for a, b in zip(starts.to_pylist(), ends.to_pylist())]
-        names = [sorted(set(x)) for x in items.to_pylist()]
-        columns = [doc_id, n_words, pa.array(hits, pa.int64()), pa.array(list(map(len, names)), pa.int64()), pa.array([sha256(",".join(x).encode()).hexdigest() for x in names]), pa.array([h > 0 for h in hits])]
-        yield pa.record_batch(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-
-DIGEST = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+            for k in range(batch.num_rows):
+                segment, n_words, *fields = (batch.column(c)[k].as_py() for c in range(5))
+                found = matches(Segment.unpacked(*fields, np.array(n_words, np.int64)), queries)
+                slots = np.unique(np.concatenate([found.spans[0], found.items[0], found.near[0]]))
+                names = np.array(queries.names, object)
+                columns = [pa.array(np.full(len(slots), segment)), pa.array(slots.astype(np.int32))]
+                for of, values, kind in ((found.spans[0], found.spans[1], pa.int64()), (found.spans[0], found.spans[2], pa.int64()), (found.items[0], names[found.items[1]], pa.string()), (found.near[0], names[found.near[1]], pa.string())):
+                    ends = np.concatenate([[0], np.searchsorted(of, slots, side="right")]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind)))
+                yield pa.record_batch(columns, names=["segment", "slot", "starts", "ends", "items", "near"])
+
+    return index.select("segment", "n_words", "terms", "sizes", "gaps").mapInArrow(run, HITS)
+
+
+def search_all(index: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """HITS over the whole benchmark, block by block; a text has a row for each block that hits it."""
+    parts = None
+    for queries in query_blocks(benchmark, block_bytes):
+        found = stored(search(index, queries), "hits")
+        parts = found if parts is None else parts.union(found)
+    return parts
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """DIGEST for each document."""
-    blocks = list(query_blocks(benchmark, block_bytes))
-    if len(blocks) == 1:
-        return search(build_index(docs, blocks[0].vocabulary), blocks[0]).mapInArrow(_digests, DIGEST)
-    index, parts = build_index(docs), None
-    for block in blocks:
-        found = search(index, block)
-        parts = found if parts is None else parts.union(found.where("size(starts) > 0"))
-    merged = parts.groupBy("segment", "slot").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items")])
-    return merged.mapInArrow(_digests, DIGEST)
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items) for each document.
 
+    n_near_items: items of which a window has a proximity match, exact matches among them.
+    """
+    index = build_index(docs)
+    merged = search_all(index, benchmark, block_bytes).groupBy("segment", "slot").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items", "near")])
+    # spans of one block are disjoint; of several they are put together
+    spans = F.array_sort(F.arrays_zip("starts", "ends"))
+    total = F.aggregate(spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("done")), _cover, lambda s: s["n"])
+    names = F.array_sort(F.array_distinct("items"))
+    hits = merged.select("segment", "slot", total.alias("n_hit"), F.size(names).cast("long").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), F.size(F.array_distinct("near")).cast("long").alias("n_near_items"))
+    texts = index.select("segment", F.posexplode(F.arrays_zip("doc_id", "n_words")).alias("slot", "d")).select("segment", "slot", "d.doc_id", "d.n_words")
+    zero = F.lit(0).cast("long")
+    found = texts.join(hits, ["segment", "slot"], "left").withColumns({"n_hit": F.coalesce("n_hit", zero), "n_items": F.coalesce("n_items", zero), "n_near_items": F.coalesce("n_near_items", zero)})
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near_items")
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, all columns as they are, in which no window of the benchmark occurs."""
-    at = docs.columns.index("text")
-    for queries in query_blocks(benchmark, block_bytes):
 
-        def run(batches: Iterator[pa.RecordBatch], queries=queries) -> Iterator[pa.RecordBatch]:
-            vocabulary = queries.vocabulary
-            for batch in ta.slices(batches):
-                hit = np.zeros(batch.num_rows, bool)
-                hit[list(matches(Segment.build(ta.pieces(batch.column(at)), vocabulary), queries))] = True
-                yield batch.filter(pa.array(~hit))
+def _cover(state, span):
+    """Words in the union of spans so far, and its end; spans come by start."""
+    low = F.greatest(state["done"], span["starts"])
+    return F.struct((state["n"] + F.greatest(span["ends"] - low, F.lit(0))).alias("n"), F.greatest(state["done"], span["ends"]).alias("done"))
 
-        docs = with_columns_of(docs.mapInArrow(run, docs.schema), docs)
-    return docs
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, all columns as they are, in which no window of the benchmark occurs, by a search of their stored index."""
+    keyed, names = with_row_key(docs)
+    index = build_index(keyed)
+    hit = search_all(index, benchmark, block_bytes).where("size(starts) > 0").select("segment", "slot").distinct()
+    rows = index.select("segment", F.posexplode(F.arrays_zip("row_file", "row_at")).alias("slot", "d")).join(hit, ["segment", "slot"])
+    dirty = stored(rows.select("d.row_file", "d.row_at").toDF(*names), "dirty")
+    return with_columns_of(keyed.join(dirty, names, "left_anti"), docs)
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,13 +312,28 @@ WITH d AS (
          coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
   FROM benchmark
 ), win AS (
-  SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 9), ' ') AS g, least(len(w), 10) AS n
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS gw, array_to_string(list_slice(w, i, i + 9), ' ') AS g, least(len(w), 10) AS n
   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), words AS (
+  SELECT rid, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM d
 ), dw AS (
-  SELECT rid, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
-  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+  SELECT rid, p AS i, n, array_to_string(v[1:n], ' ') AS g
+  FROM (SELECT rid, p, list(term) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS v FROM words), (SELECT DISTINCT n FROM win) WHERE len(v) >= n
 ), hits AS (
   SELECT DISTINCT dw.rid, win.item_id, dw.i, dw.n FROM dw JOIN win ON dw.g = win.g AND dw.n = win.n
+), rare AS (  -- each window's term of the fewest documents, and the places of that term
+  SELECT g, gw, term FROM (
+    SELECT g, gw, term, row_number() OVER (PARTITION BY g ORDER BY df, term) AS k
+    FROM (SELECT DISTINCT g, gw, unnest(gw) AS term FROM win) JOIN (SELECT term, count(*) AS df FROM (SELECT DISTINCT rid, term FROM words) GROUP BY term) USING (term)
+  ) WHERE k = 1
+), places AS (
+  SELECT DISTINCT rid, gw, g, p FROM rare JOIN words USING (term)
+), around AS (
+  SELECT rid, g, gw, list_slice(w, greatest(p - 19, 1), p + 19) AS a, p - greatest(p - 19, 1) + 1 AS c FROM places JOIN d USING (rid)
+), near AS (
+  SELECT DISTINCT rid, g FROM (SELECT rid, g, gw, a, unnest(range(1, c + 1)) AS s FROM around WHERE list_has_all(a, gw)) WHERE list_has_all(list_slice(a, s, s + 19), gw)
+), near_items AS (
+  SELECT rid, count(DISTINCT coalesce(CAST(item_id AS VARCHAR), 'null')) AS n_near_items FROM near JOIN win USING (g) GROUP BY rid
 ), hit_words AS (
   SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hits) GROUP BY rid
 ), hit_items AS (
@@ -292,6 +341,7 @@ WITH d AS (
   FROM (SELECT DISTINCT rid, coalesce(CAST(item_id AS VARCHAR), 'null') AS item FROM hits) GROUP BY rid
 )
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       CAST(coalesce(n_near_items, 0) AS BIGINT) AS n_near_items
+FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid) LEFT JOIN near_items USING (rid)
 """
