@@ -1,13 +1,14 @@
 """Sharding by a two-pass external shuffle; DataFrame functions only.
 
-Pass one scatters records uniformly into buckets that fit in memory, by a seeded hash of their id and content. Pass two shuffles each
-bucket (Spark's shuffle() is a Fisher-Yates shuffle of an array) and writes it. Prefix sums of the bucket sizes give every
-record its rank in the whole, and ranks are cut into shards whose row counts differ by at most one (the law `rows`). A bucket
-lies in one shard or a few neighbours, so the second pass writes without another exchange. Buckets follow from the seed; the
-order within one also depends on Spark's task numbers, so it can differ between runs.
-
-Edge cases: a null text has no bytes; null ids are scattered by content. Repeated rows are records of their own, though equal
-in id and text they share a bucket. No records: no rows. Fewer records than shards: the rest of the shards is empty.
+Pass one scatters records uniformly into buckets that fit in memory, by a seeded hash of their id, content and place in the input's
+files, so that copies of one row are scattered like any others. Pass two shuffles each bucket (Spark's shuffle() is a seeded
+Fisher-Yates shuffle of an array) and writes it. Prefix sums of the bucket sizes give every record its rank in the whole, and ranks are
+cut into shards whose row counts differ by at most one (the law `rows`). A bucket lies in one shard or a few neighbours, so the second
+pass writes without another exchange. The number of buckets follows from the bytes alone, and where a record goes from the seed, the
+input's files and that number, not from settings of the session.
+
+Edge cases: a null text has no bytes; null ids are scattered by content. Repeated rows are records of their own. No records: no rows.
+Fewer records than shards: the rest of the shards is empty. A record longer than a bucket makes a bucket larger.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terravane.llm.jobs import new_path, read_table
+from terravane.llm.jobs import new_path, read_table, with_row_key
 
 SHARDS = 24
 BUCKET_BYTES = 16 << 20
@@ -30,9 +31,9 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 4
     spark = docs.sparkSession
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 8
     total = docs.agg(F.sum(size.cast("long"))).first()[0] or 0
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(tasks, -(-total // bucket_bytes), 1)
-    draw = F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    buckets = max(-(-total // bucket_bytes), 1)
+    names, (docs, (_, row_at)) = docs.columns, with_row_key(docs)
+    draw = F.xxhash64(F.lit(seed), F.col(doc_id).cast("string"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.col(row_at))
     bucket = F.pmod(draw, F.lit(buckets)).cast("int").alias("bucket")
 
     whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -40,7 +41,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 4
     # one row a bucket
     bases = sizes.withColumn("base", F.coalesce(F.sum("n").over(whole), F.lit(0))).withColumn("total", F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("n")
 
-    records = docs.select(bucket, draw.alias("draw"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"))
+    records = docs.select(bucket, draw.alias("draw"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("record"))
     scattered = records.repartition(buckets, "bucket").sortWithinPartitions("bucket", "draw", F.col(f"record.`{doc_id}`"))
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
     shuffled = gathered.join(bases, "bucket").select("base", "total", F.shuffle("records", seed).alias("records"))

@@ -3,7 +3,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from terravane.llm import sharding
-from terravane.llm.jobs import new_path
+from terravane.llm.jobs import new_path, stored
 
 from ..conftest import DATA
 from .conftest import ODD
@@ -35,3 +35,18 @@ def test_empty_and_few(spark, docs_of):
     assert sharding.write_shards(docs_of([]), new_path(spark, "t")).count() == 0
     few = sharding.write_shards(docs_of(["a", "a", None]), new_path(spark, "t")).collect()
     assert len({r.shard for r in few}) == 3 and {r.slot for r in few} == {0}
+
+
+def test_copies_are_scattered_and_settings_change_nothing(spark, docs_of):
+    docs = stored(docs_of(["same text"] * 4000, ids=[7] * 4000).withColumn("row_at", F.lit(1)).withColumn("n", F.monotonically_increasing_id()).coalesce(1), "same")
+    places = []
+    for partitions in ("4", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        out = sharding.write_shards(docs, new_path(spark, "t"), shards=5, bucket_bytes=4000)
+        places.append(sorted((r.record.n, r.shard, r.slot) for r in out.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert places[0] == places[1]
+    by = {}
+    for n, shard, _ in places[0]:
+        by.setdefault(shard, []).append(n)
+    assert {len(v) for v in by.values()} == {800} and all(min(v) < 200 and max(v) > 3800 for v in by.values())
