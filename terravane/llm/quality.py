@@ -1,8 +1,9 @@
 """Quality rules: base counts, and a calibrated classifier over hashed word and character n-grams.
 
-Features are the relative frequencies of words, word pairs and runs of 3 and 4 bytes, each hashed to one of 2**18 weights, so
-a score is four mean weights and a bias. The weights are fitted by AdaGrad on a bounded sample of labelled rows; a quarter of
-the sample is held back to fit the sigmoid that makes scores probabilities. Thresholds are fixed.
+Features are the relative frequencies of words, word pairs and runs of 3 and 4 characters, each hashed to one of 2**18 weights, so
+a score is four mean weights and a bias. The weights are fitted by AdaGrad on a bounded sample of labelled rows, of which the tasks
+send bins and values, no texts; a quarter of the sample is held back to fit the sigmoid that makes scores probabilities. Thresholds
+are fixed.
 
 Edge cases: a null text is an empty one: no words, all counts 0, base_failed. Without labels of both kinds there is no
 classifier: every probability is 1 and the base rules alone decide. Repeated rows are judged alike, each by itself.
@@ -29,7 +30,7 @@ KEEP_AT = 0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
-GRAM_VALUES = ta.seeds(4 * 256, 23).reshape(4, 256)
+GRAM_PLACES = ta.seeds(4, 23) | np.uint64(1)
 TO_BIN = np.uint64(64 - BITS)
 ODD = np.uint64(ta.BASE)
 
@@ -51,11 +52,13 @@ class Grams:
             self.kinds = [((hashes * ODD) >> TO_BIN, words.bounds[:-1], words.bounds[1:])]
             pairs = ta.mix(hashes[:-1] * np.uint64(3) + hashes[1:]) >> TO_BIN
             self.kinds.append((pairs, words.bounds[:-1], np.maximum(words.bounds[1:] - 1, words.bounds[:-1])))
-            rolled = GRAM_VALUES[0][data[:-2]] + GRAM_VALUES[1][data[1:-1]] + GRAM_VALUES[2][data[2:]] if len(data) > 2 else np.zeros(0, np.uint64)
-            starts, ends = words.text_at[:-1], words.text_at[1:] - 1
-            self.kinds.append(((rolled * ODD) >> TO_BIN, starts, np.maximum(ends - 2, starts)))
-            longer = rolled[:-1] + GRAM_VALUES[3][data[3:]] if len(data) > 3 else np.zeros(0, np.uint64)
-            self.kinds.append(((longer * ODD) >> TO_BIN, starts, np.maximum(ends - 3, starts)))
+            heads = np.flatnonzero((data & 0xC0) != 0x80)  # of characters; the zero bytes between texts are some
+            points = ta.span_hashes(data, heads, np.append(heads[1:], len(data)))
+            starts, ends = np.searchsorted(heads, words.text_at[:-1]), np.searchsorted(heads, words.text_at[1:] - 1)
+            rolled = sum((points[k : len(points) - 2 + k] * GRAM_PLACES[k] for k in range(3)), np.zeros(max(0, len(points) - 2), np.uint64))
+            self.kinds.append((ta.mix(rolled) >> TO_BIN, starts, np.maximum(ends - 2, starts)))
+            longer = rolled[:-1] + points[3:] * GRAM_PLACES[3] if len(points) > 3 else np.zeros(0, np.uint64)
+            self.kinds.append((ta.mix(longer) >> TO_BIN, starts, np.maximum(ends - 3, starts)))
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """The sum over kinds of the mean weight of a text's features."""
@@ -78,12 +81,15 @@ class Grams:
         return out
 
 
-def fit(texts: list[bytes], labels: np.ndarray, epochs: int = 12, rate: float = 2.0, ridge: float = 1e-6) -> tuple[np.ndarray, float, float]:
-    """(weights, a, b): the probability of label 1 is sigmoid(a * score + b)."""
-    rows = []
-    for i in range(0, len(texts), 64):
-        part = texts[i : i + 64]
-        rows += Grams(ta.Words(part, lower=False, is_word=ta.NOT_SPACE)).rows(len(part))
+Row = tuple[np.ndarray, np.ndarray]
+
+
+def rows_of(parts: list[bytes]) -> list[Row]:
+    return Grams(ta.Words(parts, lower=False, is_word=ta.NOT_SPACE)).rows(len(parts))
+
+
+def fit(rows: list[Row], labels: np.ndarray, epochs: int = 12, rate: float = 2.0, ridge: float = 1e-6) -> tuple[np.ndarray, float, float]:
+    """(weights, a, b): the probability of label 1 is sigmoid(a * score + b). rows: distinct bins and values of each text."""
     held = np.arange(len(rows)) % 4 == 3
     train = np.flatnonzero(~held)
     weights, squares, bias, bias_squares = np.zeros(1 << BITS), np.full(1 << BITS, 1e-6), 0.0, 1e-6
@@ -156,11 +162,32 @@ Model = tuple[np.ndarray, float, float]
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     """The classifier, from at most `rows` labelled documents; None without labels of both kinds."""
-    sample = labelled_sample(docs, labels, "quality", rows).toArrow().sort_by("doc_id")
-    y = sample.column("label").to_numpy()
+    sample = labelled_sample(docs, labels, "quality", rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in ta.slices(batches):
+            found = [thinned(*row) for row in rows_of(ta.pieces(batch.column(1)))]
+            columns = [pa.array([x.astype(kind) for x in side], pa.list_(t)) for side, kind, t in zip(zip(*found), (np.int32, np.float32), (pa.int32(), pa.float32()))]
+            yield pa.record_batch([batch.column(0), batch.column(2), *columns], names=["doc_id", "label", "bins", "values"])
+
+    table = sample.mapInArrow(run, "doc_id long, label int, bins array<int>, values array<float>").toArrow().sort_by("doc_id")
+    y = table.column("label").to_numpy()
     if len(y) < 8 or min((y == 0).sum(), (y == 1).sum()) < 2:
         return None
-    return fit(ta.pieces(sample.column("text")), y)
+    return fit([(np.array(b, np.int64), np.array(v, float)) for b, v in zip(table.column("bins").to_pylist(), table.column("values").to_pylist())], y)
+
+
+#: Features of a sampled document that go to the driver, so its memory is bounded: SAMPLE_ROWS * SAMPLE_BINS * 8 bytes.
+SAMPLE_BINS = 1 << 13
+
+
+def thinned(bins: np.ndarray, values: np.ndarray) -> Row:
+    """A long document's features drawn by their bins' hash, the values weighted up, as a sample for fitting alone."""
+    if len(bins) <= SAMPLE_BINS:
+        return bins, values
+    with np.errstate(over="ignore"):
+        kept = np.sort(np.argsort(ta.mix(bins.astype(np.uint64)), kind="stable")[:SAMPLE_BINS])
+    return bins[kept], values[kept] * (len(bins) / SAMPLE_BINS)
 
 
 def judge(docs: DataFrame, model: Model | None, text: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
