@@ -5,11 +5,11 @@ within the word or repeats are restored), how near these stand to words of the s
 punctuation, digits and disguise. The lexicon is learnt from the labelled sample: words, and stems at the start of words, that
 stand in toxic documents far more often than chance allows.
 
-Fitting uses a bounded sample of labelled rows outside the held-out third. Trees are grown on histograms; two-fold scores of
-the sample calibrate by isotonic regression. Labels, lang, source and doc_id are never features.
+Fitting uses a bounded sample of labelled rows outside the held-out third. Trees are grown on histograms; scores of each half of the
+sample, by a lexicon and trees of the other half, calibrate by isotonic regression. Labels, lang, source and doc_id are never features.
 
-Edge cases: a null text is an empty one and is scored like any text. Without both labels every score is 0. Repeated rows
-have equal scores.
+Edge cases: a null text is an empty one and is scored like any text. Without both labels in each half every score is 0. Repeated rows
+have equal scores. Of repeated labels of one id the greatest counts; labels of null ids don't.
 """
 
 from __future__ import annotations
@@ -19,16 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
 from terravane.llm.jobs import read_table
 from terravane.llm.labelled import in_held_out_third, labelled_sample
 
-#: Rows of the sample that the model is fitted on; most words of the lexicon.
+#: Rows of the sample that the model is fitted on.
 SAMPLE_ROWS = 6000
-LEXICON_ROWS = 512
 #: A word or stem is in the lexicon if the toxic documents among those that hold it are this many standard deviations more
 #: than the rate of the sample gives, and this share of all toxic ones.
 DEVIATIONS, SUPPORT = 6, 0.01
@@ -282,43 +281,64 @@ class Model:
         return np.clip(np.interp(self.trees.scores(features(parts, self.lexicon)), *self.knots), 0, 1)
 
 
-def fit(x: np.ndarray, y: np.ndarray, lexicon: Lexicon) -> Model:
+def fit(x: list[np.ndarray], y: np.ndarray, fold: np.ndarray, lexicons: list[Lexicon]) -> Model:
+    """x: features of all rows by the lexicon of all, of the rows of fold 0, and of those of fold 1."""
     out = np.zeros(len(y))
-    for fold in (0, 1):
-        own = np.arange(len(y)) % 2 == fold
-        out[own] = Trees().fit(x[~own], y[~own]).scores(x[own])
-    return Model(lexicon, Trees().fit(x, y), isotonic(out, y))
+    for other in (0, 1):
+        learnt, rest = fold == other, fold != other
+        out[rest] = Trees().fit(x[1 + other][learnt], y[learnt]).scores(x[1 + other][rest])
+    return Model(lexicons[0], Trees().fit(x[0], y), isotonic(out, y))
 
 
-def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Words and stems by their share of toxic documents; every distinct one counts once for a document."""
-    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+def _fold(doc_id: str = "doc_id") -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(2)).cast("int")
+
+
+def learn_lexicons(sample: DataFrame) -> list[Lexicon]:
+    """Words and stems by their share of toxic documents; every distinct one counts once for a document.
+
+    The lexicon of the whole sample, and those of its rows in fold 0 and in fold 1. What is collected was in SUPPORT of the toxic rows.
+    """
+    parts = [F.lit(True), F.col("fold") == 0, F.col("fold") == 1]
+    sums = [f for k, part in enumerate(parts) for f in (F.sum(F.when(part, F.col("label")).otherwise(0)).alias(f"toxic_{k}"), F.sum(part.cast("long")).alias(f"n_{k}"))]
+    whole = sample.select("label", _fold().alias("fold")).agg(*sums).first()
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = sample.select("doc_id", "label", F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))).alias("word"))
+    words = sample.select("doc_id", "label", _fold().alias("fold"), F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)))).alias("word"))
     cut = F.filter(F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEMS]), lambda s: s.isNotNull())
-    terms = words.select("doc_id", "label", F.lit(False).alias("stem"), F.col("word").alias("term")).union(words.select("doc_id", "label", F.lit(True), F.explode(cut)).distinct())
-    counted = terms.groupBy("stem", "term").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
-    rate = toxic / max(n, 1)
-    score = (F.col("toxic") - F.col("n") * rate) / F.sqrt(F.col("n") * rate * (1 - rate))
-    chosen = counted.where(F.col("toxic") >= max(3, SUPPORT * toxic)).withColumn("score", score).where((F.col("score") >= DEVIATIONS) & (F.length("term") >= 3))
-    found = {stem: chosen.where(F.col("stem") == stem).orderBy(F.desc("score"), "term").limit(LEXICON_ROWS).collect() for stem in (False, True)} if 0 < toxic < n else {False: [], True: []}
-    return Lexicon([r.term.encode() for r in found[False]], {r.term.encode(): r.toxic / r.n for r in found[True]})
+    own = ("doc_id", "label", "fold")
+    terms = words.select(*own, F.lit(False).alias("stem"), F.col("word").alias("term")).union(words.select(*own, F.lit(True), F.explode(cut)).distinct())
+    counted = terms.where(F.length("term") >= 3).groupBy("stem", "term").agg(*sums)
+    chosen = []
+    for k in range(len(parts)):
+        n, toxic = whole[f"n_{k}"] or 0, whole[f"toxic_{k}"] or 0
+        rate = toxic / max(n, 1)
+        spread = F.sqrt(F.col(f"n_{k}") * rate * (1 - rate))
+        chosen.append((F.col(f"toxic_{k}") >= max(3, SUPPORT * toxic)) & (F.col(f"toxic_{k}") - F.col(f"n_{k}") * rate >= DEVIATIONS * spread) if 0 < toxic < n else F.lit(False))
+    rows = counted.select("*", *[c.alias(f"in_{k}") for k, c in enumerate(chosen)]).where(chosen[0] | chosen[1] | chosen[2]).orderBy("term").collect()
+    out = []
+    for k in range(len(parts)):
+        found = [r for r in rows if r[f"in_{k}"]]
+        out.append(Lexicon([r.term.encode() for r in found if not r.stem], {r.term.encode(): r[f"toxic_{k}"] / r[f"n_{k}"] for r in found if r.stem}))
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """The model, from at most `rows` labelled documents outside the held-out third; None without both labels."""
+    """The model, from at most `rows` labelled documents outside the held-out third; None without both labels in each half."""
     sample = labelled_sample(docs, labels, "toxic", rows, ~in_held_out_third())
-    lexicon = learn_lexicon(sample)
+    lexicons = learn_lexicons(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ta.slices(batches):
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(list(features(ta.pieces(batch.column(1)), lexicon)), pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
-
-    table = sample.mapInArrow(run, "doc_id long, label int, x array<double>").toArrow().sort_by("doc_id")
-    y = table.column("label").to_numpy().astype(float)
-    if len(y) < 8 or min((y == 0).sum(), (y == 1).sum()) < 2:
+            parts = ta.pieces(batch.column(1))
+            x = [pa.array(list(features(parts, lexicon)), pa.list_(pa.float64())) for lexicon in lexicons]
+            yield pa.record_batch([batch.column(0), batch.column(2), batch.column(3), *x], names=["doc_id", "label", "fold", "x_0", "x_1", "x_2"])
+
+    schema = "doc_id long, label int, fold int, x_0 array<double>, x_1 array<double>, x_2 array<double>"
+    table = sample.select("doc_id", "text", "label", _fold().alias("fold")).mapInArrow(run, schema).toArrow().sort_by("doc_id")
+    y, fold = table.column("label").to_numpy().astype(float), table.column("fold").to_numpy()
+    if min([((y == label) & (fold == half)).sum() for label in (0, 1) for half in (0, 1)]) < 2:
         return None
-    return fit(np.array(table.column("x").to_pylist()), y, lexicon)
+    return fit([np.array(table.column(f"x_{k}").to_pylist()) for k in range(3)], y, fold, lexicons)
 
 
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
