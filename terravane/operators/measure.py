@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terravane.operators.graph import cut
+
 
 def apportion(parents: DataFrame, target: int, most: int) -> DataFrame:
     """(id, parts): one part each, and the rest of `target` by the highest quotients weight / (parts + 0.5), `most` at most.
@@ -76,11 +78,18 @@ def run_lengths(rows: DataFrame, group: str, order: str, value: str) -> DataFram
 
 
 def nearest_rank(values: DataFrame, column: str, share: float) -> DataFrame:
-    """The value at index int(share * n), or the last, of the sorted values, by ranks of distinct values and their counts."""
-    n = values.count()
-    at = min(int(share * n), n - 1)
+    """The value at index int(share * n), or the last, of the sorted values: the range of distinct values that holds the rank is found by
+    the counts of all ranges, and ranked alone."""
+    parts = max(1, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = values.groupBy(column).agg(F.count("*").alias("_n"))
-    ends = counts.withColumn("_end", F.sum("_n").over(Window.orderBy(column).rowsBetween(Window.unboundedPreceding, 0)))
+    ranged = cut(counts.repartitionByRange(parts, column).withColumn("_part", F.spark_partition_id()))
+    sizes = {r["_part"]: r["_s"] for r in ranged.groupBy("_part").agg(F.sum("_n").alias("_s")).collect()}  # a row a partition
+    at, part, before = min(int(share * sum(sizes.values())), sum(sizes.values()) - 1), None, 0
+    for part in sorted(sizes):
+        if before + sizes[part] > at:
+            break
+        before += sizes[part]
+    ends = ranged.where(F.col("_part") == F.lit(part)).withColumn("_end", before + F.sum("_n").over(Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding, 0)))
     return ends.where(F.col("_end") > at).agg(F.min(column).alias(column))
 
 

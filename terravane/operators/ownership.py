@@ -24,8 +24,8 @@ def land(provinces: DataFrame) -> DataFrame:
 
 
 def tags(values: Column) -> Column:
-    """Trimmed tags, blanks dropped, in order."""
-    return F.filter(F.transform(values, lambda t: F.trim(t)), lambda t: t != "")
+    """Trimmed tags, blanks dropped, each once, where it stands first."""
+    return F.array_distinct(F.filter(F.transform(values, lambda t: F.trim(t)), lambda t: t != ""))
 
 
 def folded(rules: DataFrame, level: str) -> DataFrame:

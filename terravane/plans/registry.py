@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.functions import geo, text
-from terravane.operators import graph, measure, ownership, partition, quality, spatial, tiles
+from terravane.operators import clusters, graph, measure, ownership, partition, quality, spatial, tiles
 from terravane.plans.views import oracle, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -206,7 +206,10 @@ def land_components(spark, sf_dir):
     return graph.components(nodes, view(spark, sf_dir, "edges"))
 
 
-@query()
+@query("""WITH RECURSIVE own AS (SELECT province_id, owner FROM {ownership}), e AS (SELECT a, b FROM {edges} JOIN own x ON x.province_id = a JOIN own y ON y.province_id = b WHERE x.owner = y.owner UNION SELECT b, a FROM {edges} JOIN own x ON x.province_id = a JOIN own y ON y.province_id = b WHERE x.owner = y.owner),
+reach(n, c) AS (SELECT province_id, province_id FROM own UNION SELECT e.b, reach.c FROM reach JOIN e ON e.a = reach.n WHERE e.b > reach.c),
+part AS (SELECT n, min(c) AS c FROM reach GROUP BY n), s AS (SELECT owner, c, count(*) AS n FROM part JOIN own ON province_id = n GROUP BY owner, c)
+SELECT owner, CAST(sum(n) AS BIGINT) AS province_count, count(*) AS component_count, max(n) AS largest FROM s GROUP BY owner""")
 def owner_components(spark, sf_dir):
     """G1, Q2: the parts of each owner."""
     return graph.owner_components(owned(spark, sf_dir).select("province_id", "owner"), view(spark, sf_dir, "edges"))
@@ -521,17 +524,17 @@ def region_chunks(spark, sf_dir):
 def area_clusters(spark, sf_dir):
     """Contiguous areas of each country."""
     nodes = view(spark, sf_dir, "provinces").where("country is not null").select("country", F.col("province_id").alias("node"), F.col("gx").cast("double").alias("x"), F.col("gy").cast("double").alias("y"))
-    return graph.cluster_areas(nodes, view(spark, sf_dir, "edges"), 4, 2, 6)
+    return clusters.areas(nodes, view(spark, sf_dir, "edges"), 4, 2, 6)
 
 
 @query()
 def merged_provinces(spark, sf_dir):
-    """Greedy merging within regions to a third of the nodes, or to their parts."""
+    """Greedy merging of each connected part of a region to a third of its nodes."""
     provinces = view(spark, sf_dir, "provinces")
     nodes = provinces.select(F.col("region").alias("group"), F.col("province_id").alias("node"), F.lit(0.25).alias("area"), F.greatest("weight", F.lit(0.0)).alias("population"))
     ends = lambda c: nodes.select(F.col("node").alias(c), F.col("group").alias(f"g{c}"))
     inner = view(spark, sf_dir, "edges").join(ends("a"), "a").join(ends("b"), "b").where("ga = gb").select(F.col("ga").alias("group"), "a", "b", F.col("weight"))
-    return graph.aggregate_regions(nodes, inner, 0.34)
+    return clusters.aggregated(nodes, inner, 0.34)
 
 
 @query()

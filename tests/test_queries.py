@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terravane.functions import geo
-from terravane.operators import graph, tiles
+from terravane.operators import tiles
 from terravane.plans import registry
 from terravane.plans.views import TABLES, view
 
@@ -49,17 +49,6 @@ def plain_components(nodes, edges):
     return {n: top(n) for n in nodes}
 
 
-def test_owner_components(spark):
-    owner = {r.province_id: r.owner for r in registry.owned(spark, DATA).collect()}
-    edges = [(r.a, r.b) for r in view(spark, DATA, "edges").collect() if owner.get(r.a) == owner.get(r.b) is not None]
-    parts = plain_components(owner, edges)
-    want = {}
-    for n, o in owner.items():
-        want.setdefault(o, {}).setdefault(parts[n], []).append(n)
-    got = {r.owner: (r.province_count, r.component_count, r.largest) for r in registry.owner_components(spark, DATA).collect()}
-    assert got == {o: (sum(map(len, c.values())), len(c), max(map(len, c.values()))) for o, c in want.items()}
-
-
 def test_area_clusters_partition_and_hold_together(spark):
     rows = registry.area_clusters(spark, DATA).collect()
     nodes = [r.province_id for r in view(spark, DATA, "provinces").where("country is not null").collect()]
@@ -74,25 +63,15 @@ def test_area_clusters_partition_and_hold_together(spark):
 def test_merged_provinces_are_contiguous(spark):
     rows = registry.merged_provinces(spark, DATA).collect()
     edges = [(r.a, r.b) for r in view(spark, DATA, "edges").collect()]
-    groups = {}
+    groups, region = {}, {r.province_id: r.region for r in view(spark, DATA, "provinces").collect()}
     for r in rows:
         groups.setdefault((r.group, r.merged), []).append(r.node)
     for members in groups.values():
         assert len(set(plain_components(members, edges).values())) == 1
-
-
-def test_grow_and_merge():
-    edges = {("a", "b"): 1.0, ("b", "c"): 5.0, ("c", "d"): 1.0, ("e", "f"): 2.0}
-    assert graph.grow_clusters(list("abcdefg"), edges, 2) == [["a", "b"], ["c", "d"], ["e", "f"], ["g"]]
-    centres = {n: (float(i), 0.0) for i, n in enumerate("abcdefg")}
-    assert graph.merge_small([["a", "b"], ["c", "d"], ["e", "f"], ["g"]], edges, centres, 2, 4) == [["a", "b"], ["c", "d"], ["e", "f", "g"]]
-
-
-def test_merge_to_target():
-    nodes = [("a", 1.0, 0.0), ("b", 1.0, 0.0), ("c", 1.0, 0.0), ("d", 1.0, 0.0)]
-    assert sorted(map(tuple, graph.merge_to_target(nodes, {(0, 1): 1.0, (1, 2): 3.0, (2, 3): 1.0}, 3))) == [(0,), (1, 2), (3,)]
-    with pytest.raises(ValueError, match="above the target"):
-        graph.merge_to_target(nodes, {(0, 1): 1.0}, 2)
+    parts = {}
+    for n, c in plain_components(region, [(a, b) for a, b in edges if region[a] == region[b]]).items():
+        parts.setdefault((region[n], c), []).append(n)
+    assert len(groups) == sum(math.ceil(0.34 * len(p)) for p in parts.values())
 
 
 def test_refined_parents_split_every_box(spark):

@@ -91,15 +91,24 @@ def test_ownership_cells(spark, tmp_path):
 
 
 def test_scenario_document(spark, tmp_path):
-    document = {"scenario_id": "s", "country_rules": [{"match_parent_country_id": "FRA", "owner": "FRA"}, {"match_parent_country_id": "FRA", "culture": None}], "region_rules": [{"match_parent_region_id": "R2", "owner": "BUR"}], "province_overrides": [{"province_id": "c", "owner": "ENG", "claims": ["FRA"], "disputed": True}, {"province_id": "e", "controller": "X"}]}
+    """Every layer of a document, and what a null means in each of its fields."""
+    document = {
+        "scenario_id": "later",
+        "country_rules": [{"match_parent_country_id": "north", "owner": "N1", "cores": ["N1", " N2 ", "N1", ""]}, {"match_parent_country_id": "north", "culture": None}, {"match_parent_country_id": "south", "religion": "sun"}],
+        "region_rules": [{"match_parent_region_id": "coast", "controller": "C1"}, {"match_parent_region_id": "hills", "owner": "H1"}],
+        "province_overrides": [{"province_id": "k3", "claims": ["X", "Y", "X"], "disputed": True}, {"province_id": "k9", "owner": "gone"}, {"province_id": "k4", "owner": "Z"}, {"province_id": "k4", "notes": "last"}],
+    }
     (tmp_path / "s.json").write_text(json.dumps(document))
     _, rules = tables.read_scenario(spark, str(tmp_path / "s.json"))
-    provinces = spark.createDataFrame([("a", None, "FRA", "R1", ""), ("b", "land", "FRA", "R2", ""), ("c", "land", "FRA", "R2", ""), ("d", "land", "DEU", "R1", ""), ("e", "land", None, None, ""), ("s", "sea", "FRA", "R1", "")], "province_id string, kind string, country string, region string, display_name string")
-    rows = {r.province_id: r for r in ownership.resolve(provinces, rules, culture="base").collect()}
-    assert {p: (r.owner, r.controller, r.assignment_source, r.culture) for p, r in rows.items()} == {
-        "a": ("FRA", "FRA", "country_rule", None), "b": ("BUR", "BUR", "region_rule", None), "c": ("ENG", "ENG", "province_override", None), "d": ("DEU", "DEU", "baseline", "base"), "e": ("UNK", "X", "province_override", "base"),
-    }
-    assert rows["c"].claims == ["FRA"] and rows["c"].disputed and rows["e"].cores == [] and rows["a"].country_hits == 2
+    rows = [("k1", "land", "north", "coast", "One"), ("k2", None, "north", "hills", "Two"), ("k3", "land", "south", None, "Three"), ("k4", "land", None, "coast", "Four"), ("w1", "sea", "north", "coast", "Water")]
+    provinces = spark.createDataFrame(rows, "province_id string, kind string, country string, region string, display_name string")
+    found = {r.province_id: r for r in ownership.resolve(provinces, rules, culture="old").collect()}
+    assert sorted(found) == ["k1", "k2", "k3", "k4"]
+    k1, k2, k3, k4 = (found[f"k{i}"] for i in range(1, 5))
+    assert (k1.owner, k1.controller, k1.cores, k1.culture, k1.assignment_source) == ("N1", "C1", ["N1", "N2"], None, "region_rule")
+    assert (k2.owner, k2.controller, k2.cores, k2.culture) == ("H1", "H1", ["N1", "N2"], None)
+    assert (k3.owner, k3.claims, k3.disputed, k3.religion, k3.culture) == ("south", ["X", "Y"], True, "sun", "old")
+    assert (k4.owner, k4.controller, k4.notes) == ("UNK", "C1", "last")  # of rules for one province the last counts alone
 
 
 def test_profile(tmp_path):
