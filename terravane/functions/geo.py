@@ -44,6 +44,14 @@ def ring_area_km2(ring: Column) -> Column:
     return F.when(F.size(ring) < 4, 0.0).otherwise(F.abs(total) * F.lit(EARTH_KM**2 / 2))
 
 
+def ring_moments(ring: Column) -> tuple[Column, Column]:
+    """Signed planar area of a ring, and that area times the latitude of its centroid."""
+    turn = lambda s: s.x1 * s.y2 - s.x2 * s.y1
+    area = F.aggregate(_segments(ring), F.lit(0.0), lambda a, s: a + turn(s)) / 2
+    moment = F.aggregate(_segments(ring), F.lit(0.0), lambda a, s: a + turn(s) * (s.y1 + s.y2)) / 6
+    return area, moment
+
+
 def box_area_km2(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """ring_area_km2 of a box, in closed form."""
     return F.abs(F.radians(x2) - F.radians(x1)) * F.abs(F.sin(F.radians(y2)) - F.sin(F.radians(y1))) * F.lit(EARTH_KM**2)

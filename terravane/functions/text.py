@@ -115,3 +115,8 @@ def holds_on(day: Column, valid_from: Column, valid_to: Column) -> Column:
     """Whether a day lies in a range of partial dates; an open end holds for ever."""
     low, high = date_bound(valid_from, False), date_bound(valid_to, True)
     return (low.isNull() | (low <= day)) & (high.isNull() | (day <= high))
+
+
+def measurement(value: Column) -> Column:
+    """A double to twelve significant digits."""
+    return F.when(value.isNull() | F.isnan(value) | (F.abs(value) == float("inf")), value).otherwise(F.format_string("%.11e", value).cast("double"))

@@ -122,6 +122,78 @@ def golden(ownership: DataFrame, owners: DataFrame, counts: DataFrame) -> DataFr
     return first.union(low).union(high)
 
 
+def golden_borders(ownership: DataFrame, edges: DataFrame, present: DataFrame, disputed: DataFrame, pairs: DataFrame, owner_edges: DataFrame) -> DataFrame:
+    """(code, subject, expected, actual): the other expectations. present: tag, wanted (false: forbidden). disputed: province_id, expected.
+    pairs: l, r, left_owner, right_owner (null: any), adjacent (whether that is asked for). owner_edges: owner_a, owner_b, least. edges: a, b."""
+    owner = ownership.select("province_id", cleaned("owner").alias("owner"), F.coalesce("disputed", F.lit(False)).alias("flag"))
+    text = lambda c: F.col(c).cast("string")
+    used = owner.groupBy(F.col("owner").alias("tag")).agg(F.count("*").alias("n"))
+    tags = present.join(used, "tag", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    lost = tags.where("wanted and n = 0").select(F.lit("GOLDEN_REQUIRED_OWNER_MISSING").alias("code"), F.col("tag").alias("subject"), F.lit("1").alias("expected"), F.lit("0").alias("actual"))
+    kept = tags.where("not wanted and n > 0").select(F.lit("GOLDEN_FORBIDDEN_OWNER"), "tag", F.lit("0"), text("n"))
+    flags = disputed.join(owner, "province_id", "left").where(~F.col("expected").eqNullSafe(F.col("flag"))).select(F.lit("GOLDEN_DISPUTED_MISMATCH"), "province_id", text("expected"), text("flag"))
+    links = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = pairs.withColumn("a", F.least("l", "r")).withColumn("b", F.greatest("l", "r"))
+    apart = near.where("coalesce(adjacent, true)").join(links, ["a", "b"], "left_anti").select(F.lit("GOLDEN_BORDER_NOT_ADJACENT"), F.concat_ws("|", "l", "r"), F.lit("adjacent"), F.lit(None).cast("string"))
+    ends = pairs.select(F.col("l").alias("province_id"), F.col("left_owner").alias("expected")).union(pairs.select("r", "right_owner")).where("expected is not null")
+    owners = ends.join(owner, "province_id", "left").where(~F.col("expected").eqNullSafe(F.col("owner"))).select(F.lit("GOLDEN_BORDER_OWNER_MISMATCH"), "province_id", "expected", "owner")
+    side = lambda c: owner.select(F.col("province_id").alias(c), F.col("owner").alias(f"o{c}"))
+    shared = links.join(side("a"), "a").join(side("b"), "b").groupBy(F.least("oa", "ob").alias("x"), F.greatest("oa", "ob").alias("y")).agg(F.count("*").alias("n"))
+    asked = owner_edges.withColumn("x", F.least("owner_a", "owner_b")).withColumn("y", F.greatest("owner_a", "owner_b"))
+    few = asked.join(shared, ["x", "y"], "left").where(F.coalesce("n", F.lit(0)) < F.col("least")).select(F.lit("GOLDEN_OWNER_ADJACENCY_FAILED"), F.concat_ws("|", "owner_a", "owner_b"), text("least"), F.coalesce("n", F.lit(0)).cast("string"))
+    return lost.union(kept).union(flags).union(apart).union(owners).union(few)
+
+
+# The order of changes.
+CHANGE_ORDER = ["modified", "added", "removed"]
+
+
+def first_changes(changes: DataFrame, most: int | None) -> DataFrame:
+    """The first `most` changes (change_type, province_id, ...), modified before added before removed, then by province; `truncated` tells
+    whether there were more. A report's limit, not the engine's: None keeps all."""
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, CHANGE_ORDER)), F.col("change_type")), F.lit(0)), F.lit(9))
+    rows = changes.orderBy(rank, "province_id")
+    if most is None:
+        return rows.withColumn("truncated", F.lit(False))
+    return rows.limit(most).withColumn("truncated", F.lit(changes.limit(most + 1).count() > most))
+
+
+def hierarchy_regions(entities: DataFrame, provinces: DataFrame, level: str) -> DataFrame:
+    """(region_id, display_name, province_count, province_ids): the hierarchy's entities of a level, or where it has none the dissolve of the
+    provinces by region. entities: region_id, display_name, region_type, province_ids."""
+    from terravane.operators.hierarchy import dissolve_regions
+
+    own = entities.where((F.col("region_type") == level) & (F.coalesce("region_id", F.lit("")) != ""))
+    ids = F.coalesce("province_ids", F.array().cast("array<string>"))
+    found = own.select("region_id", F.coalesce("display_name", "region_id").alias("display_name"), F.size(ids).cast("long").alias("province_count"), ids.alias("province_ids"))
+    if not found.isEmpty():
+        return found
+    return dissolve_regions(provinces).select(F.col("region_key").alias("region_id"), F.col("region_key").alias("display_name"), "province_count", "province_ids")
+
+
+LINEAGE = ["era_province_id", "scaffold_province_id", "operation", "display_name", "part_index", "part_count", "in_priority_region", "geometry_mode", "reason"]
+
+
+def lineage_rows(rows: DataFrame) -> DataFrame:
+    """Rows of a lineage table, every field as text, empty where it has none."""
+    return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in LINEAGE])
+
+
+def tiny(area: Column, population: Column, least_area: float, least_population: float, share: float = 0.05) -> Column:
+    """Whether a cell is below `share` of the least area, or below it with too few people."""
+    return (area < least_area * share) | ((area < least_area) & (population < least_population))
+
+
+def with_fallback(fine: DataFrame, coarse: DataFrame, key: str) -> DataFrame:
+    """fine rows, and those coarse rows whose key no fine row has."""
+    return fine.unionByName(coarse.join(fine.select(key).distinct(), key, "left_anti"))
+
+
+def named_like(rows: DataFrame, name: str, part: str, order: str) -> DataFrame:
+    """The first row, by `order`, whose name holds `part` in any case of letters; any row's does if it is empty."""
+    return rows.where(F.contains(F.lower(F.coalesce(F.col(name), F.lit(""))), F.lit(part.lower()))).orderBy(order).limit(1)
+
+
 def unique_identities(rows: DataFrame, key: str, identity: list[str]) -> DataFrame:
     """Keys whose identity differs between scenarios, with the number of identities."""
     return rows.groupBy(key).agg(F.countDistinct(F.struct(*identity)).alias("identities")).where("identities > 1")

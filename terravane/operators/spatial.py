@@ -32,8 +32,8 @@ def _on_lines(sides: DataFrame, digits: int = 9, stretch: float = 1.0) -> DataFr
     return rows.withColumn("stretch", F.explode(F.sequence(F.floor(F.col("low") / stretch), F.floor(F.col("high") / stretch))))
 
 
-def shared_borders(polygons: DataFrame, min_km: float) -> DataFrame:
-    """(a, b, km) of polygon pairs whose common border is min_km long or more; a corner is no border."""
+def contacts(polygons: DataFrame) -> DataFrame:
+    """(a, b, p, q): the straight stretches from p to q that the borders of two polygons have in common; a corner is none."""
     lines = _on_lines(segments(polygons))
     left = lines.select(*[F.col(c).alias(f"a_{c}") for c in lines.columns])
     right = lines.select(*[F.col(c).alias(f"b_{c}") for c in lines.columns])
@@ -43,9 +43,13 @@ def shared_borders(polygons: DataFrame, min_km: float) -> DataFrame:
     pairs = left.join(right, on).where(low < high).where(F.floor(low) == F.col("a_stretch"))
     first = F.when(F.col("a_low") >= F.col("b_low"), F.struct(F.col("a_x1").alias("x"), F.col("a_y1").alias("y"))).otherwise(F.struct(F.col("b_x1").alias("x"), F.col("b_y1").alias("y")))
     last = F.when(F.col("a_high") <= F.col("b_high"), F.struct(F.col("a_x2").alias("x"), F.col("a_y2").alias("y"))).otherwise(F.struct(F.col("b_x2").alias("x"), F.col("b_y2").alias("y")))
-    pairs = pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), first.alias("p"), last.alias("q"))
+    return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), first.alias("p"), last.alias("q"))
+
+
+def shared_borders(polygons: DataFrame, min_km: float) -> DataFrame:
+    """(a, b, km) of polygon pairs whose common border is min_km long or more on the sphere; a corner is no border."""
     km = F.sum(geo.haversine_km(F.col("p.x"), F.col("p.y"), F.col("q.x"), F.col("q.y")))
-    return pairs.groupBy("a", "b").agg(km.alias("km")).where(F.col("km") + 1e-12 >= min_km)
+    return contacts(polygons).groupBy("a", "b").agg(km.alias("km")).where(F.col("km") + 1e-12 >= min_km)
 
 
 def boxes(polygons: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def priority_rows(spark, sf_dir):
 def tiny_cells(spark, sf_dir):
     """cells too small in area, or in area and people."""
     area, people = F.col("c_acctbal"), F.col("c_custkey") % 100
-    return view(spark, sf_dir, "customer").select("c_custkey", ((area < 1000 * 0.05) | ((area < 1000) & (people < 30))).alias("tiny"))
+    return view(spark, sf_dir, "customer").select("c_custkey", release.tiny(area, people, 1000, 30).alias("tiny"))
 
 
 @query("SELECT s_suppkey, CASE s_suppkey % 5 WHEN 0 THEN ' Pending-7 ' WHEN 1 THEN 'TODO' WHEN 2 THEN 'unknown' WHEN 3 THEN s_name ELSE 'pendings' END AS name, s_suppkey % 5 < 3 AS placeholder FROM {supplier}")
@@ -60,8 +60,7 @@ def fallback_rows(spark, sf_dir):
     """First-level rows, and whole countries without any."""
     nation = view(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     fine = view(spark, sf_dir, "supplier").join(nation, "s_nationkey").select(F.col("n_name").alias("country"), F.col("s_name").alias("name"))
-    coarse = nation.join(view(spark, sf_dir, "supplier"), "s_nationkey", "left_anti").select(F.col("n_name").alias("country"), F.col("n_name").alias("name"))
-    return fine.unionByName(coarse)
+    return release.with_fallback(fine, nation.select(F.col("n_name").alias("country"), F.col("n_name").alias("name")), "country")
 
 
 @query("SELECT 'province.' || province_id AS key, display_name AS value FROM {provinces} UNION ALL SELECT DISTINCT 'region.' || region, region FROM {provinces} UNION ALL SELECT 'country.' || n_name, CASE WHEN n_nationkey % 2 = 0 THEN n_name ELSE lower(n_name) END FROM {nation}")
