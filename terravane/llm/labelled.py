@@ -25,3 +25,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, a
     ids = ids.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     return stored(docs.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label").dropDuplicates(["doc_id"]), "labelled")
+
+
+def bounded(sample: DataFrame, most_bytes: int) -> DataFrame:
+    """The rows of a sample, in the order of a hash of doc_id, whose texts together take most_bytes at most; a longer text is passed over."""
+    draw = F.xxhash64("doc_id")
+    sizes = sample.select(draw.alias("draw"), F.octet_length("text").alias("n")).where(F.col("n") <= most_bytes).orderBy("draw").collect()  # a row each
+    last, total = None, 0
+    for row in sizes:
+        total += row.n
+        if total > most_bytes:
+            break
+        last = row.draw
+    return sample.where((draw <= F.lit(last)) & (F.octet_length("text") <= most_bytes)) if last is not None else sample.limit(0)

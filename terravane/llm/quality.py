@@ -1,9 +1,8 @@
 """Quality rules: base counts, and a calibrated classifier over hashed word and character n-grams.
 
 Features are the relative frequencies of words, word pairs and runs of 3 and 4 characters, each hashed to one of 2**18 weights, so
-a score is four mean weights and a bias. The weights are fitted by AdaGrad on a bounded sample of labelled rows, of which the tasks
-send bins and values, no texts; a quarter of the sample is held back to fit the sigmoid that makes scores probabilities. Thresholds
-are fixed.
+a score is four mean weights and a bias. The weights are fitted by AdaGrad on a sample of labelled rows, bounded in rows and bytes;
+a quarter of the sample is held back to fit the sigmoid that makes scores probabilities. Thresholds are fixed.
 
 Edge cases: a null text is an empty one: no words, all counts 0, base_failed. Without labels of both kinds there is no
 classifier: every probability is 1 and the base rules alone decide. Repeated rows are judged alike, each by itself.
@@ -20,11 +19,12 @@ from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
 from terravane.llm.jobs import read_table, with_columns_of
-from terravane.llm.labelled import labelled_sample
+from terravane.llm.labelled import bounded, labelled_sample
 
 BITS = 18
-#: Rows of the sample that the classifier is fitted on.
+#: Rows of the sample that the classifier is fitted on, and bytes of their texts: these come to the driver.
 SAMPLE_ROWS = 2500
+SAMPLE_BYTES = 24 << 20
 #: A document goes if its probability of good quality is below this.
 KEEP_AT = 0.2
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -162,32 +162,12 @@ Model = tuple[np.ndarray, float, float]
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
     """The classifier, from at most `rows` labelled documents; None without labels of both kinds."""
-    sample = labelled_sample(docs, labels, "quality", rows)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in ta.slices(batches):
-            found = [thinned(*row) for row in rows_of(ta.pieces(batch.column(1)))]
-            columns = [pa.array([x.astype(kind) for x in side], pa.list_(t)) for side, kind, t in zip(zip(*found), (np.int32, np.float32), (pa.int32(), pa.float32()))]
-            yield pa.record_batch([batch.column(0), batch.column(2), *columns], names=["doc_id", "label", "bins", "values"])
-
-    table = sample.mapInArrow(run, "doc_id long, label int, bins array<int>, values array<float>").toArrow().sort_by("doc_id")
-    y = table.column("label").to_numpy()
+    sample = bounded(labelled_sample(docs, labels, "quality", rows), SAMPLE_BYTES).toArrow().sort_by("doc_id")
+    y = sample.column("label").to_numpy()
     if len(y) < 8 or min((y == 0).sum(), (y == 1).sum()) < 2:
         return None
-    return fit([(np.array(b, np.int64), np.array(v, float)) for b, v in zip(table.column("bins").to_pylist(), table.column("values").to_pylist())], y)
-
-
-#: Features of a sampled document that go to the driver, so its memory is bounded: SAMPLE_ROWS * SAMPLE_BINS * 8 bytes.
-SAMPLE_BINS = 1 << 13
-
-
-def thinned(bins: np.ndarray, values: np.ndarray) -> Row:
-    """A long document's features drawn by their bins' hash, the values weighted up, as a sample for fitting alone."""
-    if len(bins) <= SAMPLE_BINS:
-        return bins, values
-    with np.errstate(over="ignore"):
-        kept = np.sort(np.argsort(ta.mix(bins.astype(np.uint64)), kind="stable")[:SAMPLE_BINS])
-    return bins[kept], values[kept] * (len(bins) / SAMPLE_BINS)
+    parts = ta.pieces(sample.column("text"))
+    return fit([row for i in range(0, len(parts), 64) for row in rows_of(parts[i : i + 64])], y)
 
 
 def judge(docs: DataFrame, model: Model | None, text: str = "text", keep_at: float = KEEP_AT) -> DataFrame:

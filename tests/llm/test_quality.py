@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from terravane.llm import quality
+from terravane.llm.labelled import bounded
 
 from ..conftest import DATA
 from .conftest import ODD
@@ -54,3 +55,11 @@ def test_kept_rows_keep_their_columns(docs_of):
 def test_platt_is_monotone():
     a, _ = quality.platt(np.array([-2.0, -1, 1, 2]), np.array([0, 0, 1, 1]))
     assert a > 0
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rows = [(i, "x" * (10 if i % 7 else 5000), 1) for i in range(50)]
+    sample = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    found = bounded(sample, 200).collect()
+    assert sum(len(r.text) for r in found) == 200
+    assert bounded(sample, 5).count() == 0 and bounded(sample, 10**6).count() == 50
