@@ -90,40 +90,55 @@ def tile_pixel(value: Column, low: Column, high: Column, extent: int = 4096) ->
     return F.bround((value - low) / (high - low) * extent, 0).cast("long")
 
 
+def _bits(value: Column, n: Column, left: bool) -> Column:
+    return F.call_function("shiftleft" if left else "shiftright", value.cast("long"), n.cast("int"))
+
+
+def _one() -> Column:
+    return F.lit(1).cast("long")
+
+
+#: Tiles of all zooms below each; zooms go to 31.
+TILES_BELOW = [(4**z - 1) // 3 for z in range(32)]
+
+
+def _below(z: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(n).cast("long") for n in TILES_BELOW]), (z + 1).cast("int"))
+
+
+def _turned(x: Column, y: Column, rx: Column, ry: Column, side: Column) -> tuple[Column, Column]:
+    """x and y within their quadrant, turned as the curve is there."""
+    flip = (ry == 0) & (rx == 1)
+    fx, fy = F.when(flip, side - 1 - x).otherwise(x), F.when(flip, side - 1 - y).otherwise(y)
+    return F.when(ry == 0, fy).otherwise(fx), F.when(ry == 0, fx).otherwise(fy)
+
+
 def hilbert_tile_id(z: Column, x: Column, y: Column) -> Column:
-    """The number of a tile along the Hilbert curves of all zooms up to its own."""
-    base = ((F.pow(F.lit(4.0), z) - 1) / 3).cast("long")
+    """The number of a tile along the Hilbert curves of all zooms up to its own, in whole numbers alone."""
     start = F.struct(F.lit(0).cast("long").alias("d"), x.cast("long").alias("x"), y.cast("long").alias("y"))
 
     def step(state: Column, level: Column) -> Column:
-        side = F.expr("1L").cast("long") * F.pow(F.lit(2.0), level).cast("long")
-        rx = F.when(state.x.bitwiseAND(side) > 0, 1).otherwise(0).cast("long")
-        ry = F.when(state.y.bitwiseAND(side) > 0, 1).otherwise(0).cast("long")
-        d = state.d + side * side * ((3 * rx).bitwiseXOR(ry))
-        flip = (ry == 0) & (rx == 1)
-        fx = F.when(flip, side - 1 - state.x.bitwiseAND(side - 1)).otherwise(state.x.bitwiseAND(side - 1))
-        fy = F.when(flip, side - 1 - state.y.bitwiseAND(side - 1)).otherwise(state.y.bitwiseAND(side - 1))
-        return F.struct(d.alias("d"), F.when(ry == 0, fy).otherwise(fx).alias("x"), F.when(ry == 0, fx).otherwise(fy).alias("y"))
+        side = _bits(_one(), level, True)
+        rx, ry = (_bits(v, level, False).bitwiseAND(_one()) for v in (state.x, state.y))
+        d = state.d + _bits((3 * rx).bitwiseXOR(ry), 2 * level, True)
+        nx, ny = _turned(state.x.bitwiseAND(side - 1), state.y.bitwiseAND(side - 1), rx, ry, side)
+        return F.struct(d.alias("d"), nx.alias("x"), ny.alias("y"))
 
     levels = F.when(z > 0, F.sequence((z - 1).cast("int"), F.lit(0), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    return base + F.aggregate(levels, start, step, lambda s: s.d)
+    return _below(z) + F.aggregate(levels, start, step, lambda s: s.d)
 
 
 def tile_of_hilbert(tile_id: Column) -> Column:
     """(z, x, y) of a number of hilbert_tile_id."""
-    z = F.floor((F.log2(3.0 * tile_id + 1) + 1e-12) / 2).cast("int")
-    base = ((F.pow(F.lit(4.0), z) - 1) / 3).cast("long")
-    start = F.struct((tile_id - base).cast("long").alias("d"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
+    z = (F.size(F.filter(F.array(*[F.lit(n).cast("long") for n in TILES_BELOW]), lambda n: n <= tile_id)) - 1).cast("int")
+    start = F.struct((tile_id - _below(z)).cast("long").alias("d"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("y"))
 
     def step(state: Column, level: Column) -> Column:
-        side = F.pow(F.lit(2.0), level).cast("long")
-        rx = (state.d / 2).cast("long").bitwiseAND(F.lit(1).cast("long"))
-        ry = state.d.bitwiseXOR(rx).bitwiseAND(F.lit(1).cast("long"))
-        flip = (ry == 0) & (rx == 1)
-        fx = F.when(flip, side - 1 - state.x).otherwise(state.x)
-        fy = F.when(flip, side - 1 - state.y).otherwise(state.y)
-        nx, ny = F.when(ry == 0, fy).otherwise(fx), F.when(ry == 0, fx).otherwise(fy)
-        return F.struct((state.d / 4).cast("long").alias("d"), (nx + side * rx).alias("x"), (ny + side * ry).alias("y"))
+        side = _bits(_one(), level, True)
+        rx = _bits(state.d, F.lit(1), False).bitwiseAND(_one())
+        ry = state.d.bitwiseXOR(rx).bitwiseAND(_one())
+        nx, ny = _turned(state.x, state.y, rx, ry, side)
+        return F.struct(_bits(state.d, F.lit(2), False).alias("d"), (nx + side * rx).alias("x"), (ny + side * ry).alias("y"))
 
     levels = F.when(z > 0, F.sequence(F.lit(0), z - 1)).otherwise(F.array().cast("array<int>"))
     return F.aggregate(levels, start, step, lambda s: F.struct(z.alias("z"), s.x.alias("x"), s.y.alias("y")))

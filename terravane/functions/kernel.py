@@ -152,3 +152,48 @@ def voronoi(pieces: list[Piece], seeds: list[Point]) -> list[list[Piece]]:
                 own = [c for p in own if (c := clip(p, a, b))]
         cells.append(own)
     return cells
+
+
+def _crossing(a: Point, b: Point, c: Point, d: Point) -> Point | None:
+    """Where the insides of two segments cross."""
+    s, t = _turn(a, b, c), _turn(a, b, d)
+    u, v = _turn(c, d, a), _turn(c, d, b)
+    if s * t < 0 and u * v < 0:
+        k = u / (u - v)
+        return a[0] + k * (b[0] - a[0]), a[1] + k * (b[1] - a[1])
+    return None
+
+
+def repaired(ring: Iterable[Point]) -> tuple[list[Piece], bool]:
+    """Simple counter-clockwise rings that a ring consists of, and whether it was other than one of them.
+
+    Repeated points and spikes go; where the ring crosses or touches itself it is cut into loops. Loops without area are dropped.
+    """
+    given = [tuple(map(float, p)) for p in ring]
+    points = given[:-1] if len(given) > 1 and given[0] == given[-1] else list(given)
+    whole = len(points)
+    points = [p for i, p in enumerate(points) if p != points[i - 1]]
+    n = len(points)
+    path: list[Point] = []
+    for i in range(n):
+        a, b = points[i], points[(i + 1) % n]
+        cuts = [x for j in range(n) if j != i and (x := _crossing(a, b, points[j], points[(j + 1) % n]))]
+        path += [a, *sorted(set(cuts), key=lambda x: (x[0] - a[0]) ** 2 + (x[1] - a[1]) ** 2)]
+    key = lambda p: (round(p[0], 12), round(p[1], 12))
+    loops: list[Piece] = []
+    stack: list[Point] = []
+    seen: dict[tuple, int] = {}
+    for p in path:
+        if key(p) in seen:
+            at = seen[key(p)]
+            loops.append(stack[at:])
+            for q in stack[at + 1 :]:
+                del seen[key(q)]
+            del stack[at + 1 :]
+        else:
+            seen[key(p)] = len(stack)
+            stack.append(p)
+    loops.append(stack)
+    kept = [loop if area(loop) > 0 else loop[::-1] for loop in loops if len(loop) > 2 and abs(area(loop)) > EPS]
+    same = len(kept) == 1 and len(kept[0]) == whole and area(points) > 0
+    return sorted(kept), not same

@@ -580,4 +580,4 @@ def refined_parents(spark, sf_dir):
     return partition.refine(parents, points).select("parent", "part", F.round("area", 9).alias("area"), F.round("population", 6).alias("population"))
 
 
-from terravane.plans import fabric, more  # noqa: E402, F401  their queries register themselves
+from terravane.plans import builds, fabric, more  # noqa: E402, F401  their queries register themselves
