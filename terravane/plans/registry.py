@@ -197,13 +197,11 @@ def edge_collapse(spark, sf_dir):
     return graph.collapse(view(spark, sf_dir, "edges"), groups)
 
 
-@query("""WITH RECURSIVE h AS (SELECT province_id AS node, gx, gy FROM {provinces} WHERE gy < 4), e AS (SELECT a, b FROM {edges} WHERE a IN (SELECT node FROM h) AND b IN (SELECT node FROM h)), sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-reach(node, root) AS (SELECT node, node FROM h UNION SELECT sym.b, reach.root FROM reach JOIN sym ON sym.a = reach.node)
-SELECT node, min(root) AS component FROM reach GROUP BY node""")
+@query("""WITH RECURSIVE sym AS (SELECT a, b FROM {edges} UNION SELECT b, a FROM {edges}), reach(n, c) AS (SELECT province_id, province_id FROM {provinces} UNION SELECT sym.b, reach.c FROM reach JOIN sym ON sym.a = reach.n WHERE sym.b > reach.c)
+SELECT n AS node, min(c) AS component FROM reach GROUP BY n""")
 def land_components(spark, sf_dir):
-    """G1: connected components of the first rows of the grid."""
-    nodes = view(spark, sf_dir, "provinces").where("gy < 4").select(F.col("province_id").alias("node"))
-    return graph.components(nodes, view(spark, sf_dir, "edges"))
+    """G1: connected components of the grid."""
+    return graph.components(view(spark, sf_dir, "provinces").select(F.col("province_id").alias("node")), view(spark, sf_dir, "edges"))
 
 
 @query("""WITH RECURSIVE own AS (SELECT province_id, owner FROM {ownership}), e AS (SELECT a, b FROM {edges} JOIN own x ON x.province_id = a JOIN own y ON y.province_id = b WHERE x.owner = y.owner UNION SELECT b, a FROM {edges} JOIN own x ON x.province_id = a JOIN own y ON y.province_id = b WHERE x.owner = y.owner),
@@ -303,15 +301,6 @@ def port_links(spark, sf_dir):
     return spatial.ports(seas, ownership.land(provinces).select(F.col("province_id").alias("id")))
 
 
-@query("""WITH c AS (SELECT * FROM {boxes} WHERE n % 5 = 0), d AS (SELECT s.id AS a, t.id AS b, sqrt(pow(greatest(t.x1 - s.x2, s.x1 - t.x2, 0), 2) + pow(greatest(t.y1 - s.y2, s.y1 - t.y2, 0), 2)) AS gap FROM c s JOIN c t ON s.id < t.id AND abs(s.x1 - t.x1) <= 1.5 AND abs(s.y1 - t.y1) <= 1.5)
-SELECT a, b, round(gap * (2 * pi() * 6371.0088E0 / 360), 6) AS km FROM d WHERE gap > 0 AND gap * (2 * pi() * 6371.0088E0 / 360) <= 80""")
-def strait_links(spark, sf_dir):
-    """Boxes apart, within 80 km."""
-    some = grid(spark, sf_dir).where("n % 5 = 0").select("id", "ring")
-    none = spark.createDataFrame([], "a string, b string")
-    return spatial.straits(some, some, none, 80.0).select("a", "b", F.round("km", 6).alias("km"))
-
-
 #: All boxes, made small and shifted, so that there are gaps between them.
 APART = "SELECT id, n, x1 + 0.1003E0 + 0.0011E0 * (n % 13) AS x1, y1 + 0.1003E0 + 0.0011E0 * (n % 11) AS y1, x1 + 0.3E0 AS x2, y1 + 0.25E0 AS y2 FROM {boxes}"
 
@@ -324,7 +313,7 @@ def apart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH c AS ({APART}), d AS (SELECT s.id AS a, t.id AS b, sqrt(pow(greatest(t.x1 - s.x2, s.x1 - t.x2, 0), 2) + pow(greatest(t.y1 - s.y2, s.y1 - t.y2, 0), 2)) AS gap FROM c s JOIN c t ON s.id < t.id AND abs(s.x1 - t.x1) <= 1.5 AND abs(s.y1 - t.y1) <= 1.5)
 SELECT a, b, round(gap * (2 * pi() * 6371.0088E0 / 360), 6) AS km FROM d WHERE gap > 0 AND gap * (2 * pi() * 6371.0088E0 / 360) <= 80""")
-def strait_links_whole(spark, sf_dir):
+def strait_links(spark, sf_dir):
     """All boxes, made small, within 80 km of each other."""
     rows = apart(spark, sf_dir)
     none = spark.createDataFrame([], "a string, b string")
@@ -402,19 +391,11 @@ def status_apply(spark, sf_dir):
     return measure.applied(base, measure.delta(base, now))
 
 
-@query("SELECT * FROM (SELECT a.n_name, b.event_type, count(c.n_name) AS n FROM (SELECT DISTINCT n_name FROM {nation}) a CROSS JOIN (SELECT DISTINCT event_type FROM {events}) b LEFT JOIN (SELECT n_name, event_type FROM {events} JOIN {nation} ON user_id % 31 = n_nationkey WHERE event_id % 40 = 0) c ON c.n_name = a.n_name AND c.event_type = b.event_type GROUP BY 1, 2) WHERE n <> 1")
-def census_gaps(spark, sf_dir):
-    """Cells of two catalogs that don't occur once."""
-    events, nation = view(spark, sf_dir, "events"), view(spark, sf_dir, "nation")
-    cells = events.where("event_id % 40 = 0").join(nation, F.col("user_id") % 31 == F.col("n_nationkey")).select("n_name", "event_type")
-    return quality.census_gaps(cells, nation, events, "n_name", "event_type")
-
-
 SPARSE = "SELECT n_name, concat(event_type, '-', CAST(user_id % 10 AS STRING)) AS kind FROM {events} JOIN {nation} ON user_id % 25 = n_nationkey"
 
 
 @query(f"SELECT * FROM (SELECT a.n_name, b.kind, count(c.n_name) AS n FROM (SELECT DISTINCT n_name FROM {{nation}}) a CROSS JOIN (SELECT DISTINCT kind FROM ({SPARSE})) b LEFT JOIN ({SPARSE}) c ON c.n_name = a.n_name AND c.kind = b.kind GROUP BY 1, 2) WHERE n <> 1")
-def census_gaps_whole(spark, sf_dir):
+def census_gaps(spark, sf_dir):
     """All events in cells of nations and kinds of which many don't occur."""
     cells = view(spark, sf_dir, SPARSE)
     return quality.census_gaps(cells, view(spark, sf_dir, "nation"), cells, "n_name", "kind")
@@ -561,7 +542,7 @@ def without_overlaps(spark, sf_dir):
     return partition.without_overlaps(rows, 1.0).select("id", F.round("area", 6).alias("area"))
 
 
-HALVES = "SELECT id, x1 + 0.25E0 AS x1, y1 + 0.25E0 AS y1, x2 + 0.25E0 AS x2, y2 + 0.25E0 AS y2 FROM {boxes} WHERE n % 2 = 0"
+HALVES = "SELECT id, x1 + 0.25E0 AS x1, y1 + 0.25E0 AS y1, x2 + 0.25E0 AS x2, y2 + 0.25E0 AS y2 FROM {boxes}"
 
 
 @query(f"WITH h AS ({HALVES}) SELECT b.id AS location, h.id AS reference, round((least(b.x2, h.x2) - greatest(b.x1, h.x1)) * (least(b.y2, h.y2) - greatest(b.y1, h.y1)), 6) AS area FROM {{boxes}} b JOIN h ON h.x1 < b.x2 AND b.x1 < h.x2 AND h.y1 < b.y2 AND b.y1 < h.y2")

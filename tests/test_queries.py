@@ -93,13 +93,13 @@ def test_hausdorff_takes_all_orders(spark):
     km = lambda p, q: math.hypot((q[0] - p[0]) * 111.32 * math.cos(math.radians((p[1] + q[1]) / 2)), (q[1] - p[1]) * 110.574)
     far = lambda a, b: max(min(km(p, q) for q in b) for p in a)
     want = {k: max(far(a, b), far(b, a)) for k, (a, b) in sets.items() if a and b}
-    got = {r.key: r.km for r in registry.queries()["hausdorff_km_whole"](spark, DATA).collect()}
+    got = {r.key: r.km for r in registry.queries()["hausdorff_km"](spark, DATA).collect()}
     assert got == pytest.approx(want, abs=1e-5)
 
 
 def test_main_frame_takes_all_boxes(spark):
     boxes = view(spark, DATA, "boxes").collect()
-    got = {r.name: tuple(r)[1:] for r in registry.queries()["main_frame_whole"](spark, DATA).collect()}
+    got = {r.name: tuple(r)[1:] for r in registry.queries()["main_frame"](spark, DATA).collect()}
     for name, rows in {"boxes": [(b.x1, b.y1, b.x2, b.y2, b.id) for b in boxes], "wide": [(b.x1, b.y1, b.x1 + 0.5 + b.n % 7, b.y2, b.id) for b in boxes]}.items():
         bounds = (min(r[0] for r in rows), min(r[1] for r in rows), max(r[2] for r in rows), max(r[3] for r in rows))
         size = lambda r: max(r[2] - r[0], r[3] - r[1])
@@ -121,11 +121,11 @@ def test_tile_archive_holds_every_box(spark):
 
 def test_whole_views_meet_their_operators(spark):
     ids = {r.id for r in view(spark, DATA, "boxes").collect()}
-    whole = {n: registry.queries()[n](spark, DATA).collect() for n in ("strait_links_whole", "located_points_whole", "census_gaps_whole", "identity_conflicts_whole")}
-    assert {i for r in whole["strait_links_whole"] for i in (r.a, r.b)} == ids
-    assert all(r.n != 1 for r in whole["census_gaps_whole"]) and {r.n == 0 for r in whole["census_gaps_whole"]} == {True, False}
+    whole = {n: registry.queries()[n](spark, DATA).collect() for n in ("strait_links", "located_points", "census_gaps", "identity_conflicts")}
+    assert {i for r in whole["strait_links"] for i in (r.a, r.b)} == ids
+    assert all(r.n != 1 for r in whole["census_gaps"]) and {r.n == 0 for r in whole["census_gaps"]} == {True, False}
     lines = {}
     for r in view(spark, DATA, "lineitem").select("l_partkey", "l_suppkey").collect():
         lines.setdefault(r.l_partkey, set()).add(r.l_suppkey)
-    assert {r.l_partkey: r.identities for r in whole["identity_conflicts_whole"]} == {k: len(v) for k, v in lines.items() if len(v) > 1}
-    assert whole["located_points_whole"]
+    assert {r.l_partkey: r.identities for r in whole["identity_conflicts"]} == {k: len(v) for k, v in lines.items() if len(v) > 1}
+    assert whole["located_points"]
