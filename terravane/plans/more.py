@@ -118,7 +118,15 @@ def grid_cells(spark, sf_dir):
     return hierarchy.cells(spark, 4)
 
 
-@query()
+DIGITS = " || ".join(f"CAST(2 * ((j >> {k}) & 1) + ((i >> {k}) & 1) AS STRING)" for k in range(5, -1, -1))
+
+
+@query(f"""WITH p AS (SELECT least(CAST(floor((x + 180) / 2.8125E0) AS BIGINT), 127) AS i, least(CAST(floor((y + 90) / 2.8125E0) AS BIGINT), 63) AS j, CAST(greatest(weight, 0) AS DECIMAL(18, 6)) AS w FROM {{points}}),
+leaf AS (SELECT CAST(i // 64 AS STRING) || {DIGITS} AS c, w FROM p), every AS (SELECT substr(c, 1, n) AS cell, sum(w) AS weight FROM leaf, (SELECT unnest([3, 4, 5, 6, 7]) AS n) GROUP BY 1),
+kids AS (SELECT substr(cell, 1, length(cell) - 1) AS cell, count(*) AS n FROM every WHERE length(cell) > 3 GROUP BY 1),
+live AS (SELECT cell, (SELECT count(*) FROM every WHERE length(cell) = 3) + coalesce(sum(n - 1) OVER (ORDER BY weight DESC, cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM every JOIN kids USING (cell)),
+opened AS (SELECT cell FROM live WHERE n < 24)
+SELECT cell, CAST(weight AS DOUBLE) AS weight FROM every WHERE (length(cell) = 3 OR substr(cell, 1, length(cell) - 1) IN (SELECT cell FROM opened)) AND cell NOT IN (SELECT cell FROM opened)""")
 def refined_cells(spark, sf_dir):
     """The heaviest cells split until the target."""
     points = view(spark, sf_dir, "points").select("x", "y", F.greatest("weight", F.lit(0.0)).alias("weight"))
