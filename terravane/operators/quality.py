@@ -147,9 +147,16 @@ def share_sums(shares: DataFrame, tolerance: float) -> DataFrame:
     return shares.groupBy("location", "layer").agg(F.sum("share").alias("total")).where(F.abs(F.col("total") - 1) > tolerance)
 
 
+#: Most names of a census catalog that every row of the other is held against.
+CATALOG_ROWS = 4096
+
+
 def census_gaps(cells: DataFrame, left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, n) of the cells of left x right (two small catalogs) that don't occur exactly once."""
-    whole = left.select(a).distinct().crossJoin(right.select(b).distinct())
+    """(a, b, n) of the cells of two catalogs that don't occur exactly once. ValueError if the right one has more than CATALOG_ROWS names."""
+    names = [r[0] for r in right.select(b).distinct().limit(CATALOG_ROWS + 1).collect()]
+    if len(names) > CATALOG_ROWS:
+        raise ValueError(f"more than {CATALOG_ROWS} names in {b}")
+    whole = left.select(a).distinct().select(a, F.explode(F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")).alias(b))
     counts = cells.groupBy(a, b).agg(F.count("*").alias("n"))
     return whole.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
 

@@ -238,7 +238,7 @@ def csr_graph(spark, sf_dir):
 SELECT id, 1 + count(k) AS parts FROM p LEFT JOIN (SELECT * FROM q WHERE r <= 100 - (SELECT count(*) FROM p)) USING (id) GROUP BY id""")
 def apportion(spark, sf_dir):
     """A hundred parts among nations by balance, twelve at most."""
-    rows = view(spark, sf_dir, "customer").join(F.broadcast(view(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = view(spark, sf_dir, "customer").join(view(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     parents = rows.groupBy(F.col("n_name").alias("id")).agg(F.sum(F.greatest("c_acctbal", F.lit(0.0))).alias("weight")).withColumn("refinable", F.lit(True))
     return measure.apportion(parents, 100, 12)
 

@@ -14,7 +14,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terravane.operators import graph, measure
+from terravane.operators import fabric, graph, measure
 
 HEAD = struct.Struct("<8sQ")
 
@@ -44,14 +44,15 @@ def rows_of(df: DataFrame, *order: str):
     return df.orderBy(*order).toLocalIterator(prefetchPartitions=True)
 
 
-STATUS, OFFSET, NODE = struct.Struct("<IHI"), struct.Struct("<Q"), struct.Struct("<I")
-MAGIC = {"offsets": b"TVOFFS01", "neighbours": b"TVNEIG01", "base": b"TVBASE01", "removed": b"TVREMV01", "added": b"TVADDD01"}
+STATUS, OFFSET, NODE, UNION = struct.Struct("<IHI"), struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<IQI")
+MAGIC = {"offsets": b"TVOFFS01", "neighbours": b"TVNEIG01", "base": b"TVBASE01", "removed": b"TVREMV01", "added": b"TVADDD01", "unions": b"TVUNIO01", "members": b"TVMEMB01"}
 
 
-def compile_pack(folder: str, nodes: DataFrame, edges: DataFrame, statuses: dict[str, DataFrame], base: str) -> dict:
+def compile_pack(folder: str, nodes: DataFrame, edges: DataFrame, statuses: dict[str, DataFrame], base: str, unions: DataFrame | None = None) -> dict:
     """Write the pack of a graph (nodes: node; edges: a, b) and of scenarios' statuses (subject, relation, actor; names of nodes).
 
-    The statuses of `base` are written whole, the others as deltas against it. Returns the manifest.
+    The statuses of `base` are written whole, the others as deltas against it. unions: actor, members (names of nodes), as a table of (actor, offset,
+    count) and one of members. Returns the manifest.
     """
     root = Path(folder)
     root.mkdir(parents=True, exist_ok=True)
@@ -71,6 +72,10 @@ def compile_pack(folder: str, nodes: DataFrame, edges: DataFrame, statuses: dict
             change = measure.delta(dense[base], dense[name])
             for op in ("removed", "added"):
                 write_table(root / f"status-{name}-{op}.bin", MAGIC[op], STATUS, tuples(change.where(F.col("op") == op).drop("op")))
+    if unions is not None:
+        table = graph.cut(fabric.union_rows(unions, index))
+        write_table(root / "unions.bin", MAGIC["unions"], UNION, ((r.actor, r.offset, r.n) for r in rows_of(table, "offset", "actor")))
+        write_table(root / "union-members.bin", MAGIC["members"], NODE, ((r.m,) for r in rows_of(table.select("offset", F.posexplode("members").alias("i", "m")), "offset", "i")))
     files = {p.name: {"bytes": p.stat().st_size, "sha256": hashlib.sha256(p.read_bytes()).hexdigest()} for p in sorted(root.iterdir()) if p.name != "manifest.json"}
     manifest = {"base": base, "scenarios": sorted(dense), "files": files}
     (root / "manifest.json").write_text(json.dumps(manifest, indent=2, sort_keys=True) + "\n", encoding="utf-8")
@@ -101,3 +106,10 @@ class Pack:
             rows -= set(read_table(self.root / f"status-{scenario}-removed.bin", MAGIC["removed"], STATUS))
             rows |= set(read_table(self.root / f"status-{scenario}-added.bin", MAGIC["added"], STATUS))
         return {(self.names[s], r, self.names[a]) for s, r, a in rows}
+
+    def unions(self) -> dict[str, list[str]]:
+        """The members of each actor's union; none where the pack has no such table."""
+        if "unions.bin" not in self.manifest["files"]:
+            return {}
+        members = [r[0] for r in read_table(self.root / "union-members.bin", MAGIC["members"], NODE)]
+        return {self.names[a]: [self.names[m] for m in members[at : at + n]] for a, at, n in read_table(self.root / "unions.bin", MAGIC["unions"], UNION)}

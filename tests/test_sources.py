@@ -130,10 +130,14 @@ def test_pack_round_trip(spark, tmp_path):
     status = lambda rows: spark.createDataFrame(rows, "subject string, relation int, actor string")
     base, later = [("a", 1, "d"), ("b", 2, "d")], [("a", 1, "d"), ("c", 3, "e")]
     manifest = pack.compile_pack(str(tmp_path / "p"), nodes, edges, {"s0": status(base), "s1": status(later)}, "s0")
-    again = pack.compile_pack(str(tmp_path / "q"), nodes, edges, {"s0": status(base), "s1": status(later)}, "s0")
+    unions = spark.createDataFrame([("d", ["c", "a"]), ("b", ["e"])], "actor string, members array<string>")
+    assert pack.Pack(str(tmp_path / "p")).unions() == {}
+    manifest = pack.compile_pack(str(tmp_path / "p"), nodes, edges, {"s0": status(base), "s1": status(later)}, "s0", unions)
+    again = pack.compile_pack(str(tmp_path / "q"), nodes, edges, {"s0": status(base), "s1": status(later)}, "s0", unions)
     assert manifest == again  # byte for byte, by the checksums
     p = pack.Pack(str(tmp_path / "p"))
     assert p.names == list("abcde") and p.neighbours("b") == ["a", "c"] and p.neighbours("e") == []
+    assert p.unions() == {"b": ["e"], "d": ["a", "c"]}
     assert p.statuses("s0") == set(base) and p.statuses("s1") == set(later)
     (tmp_path / "p" / "offsets.bin").write_bytes(b"x")
     with pytest.raises(ValueError, match="manifest"):
