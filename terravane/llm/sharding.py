@@ -1,8 +1,8 @@
 """Sharding by a two-pass external shuffle; DataFrame functions only.
 
 Pass one scatters records uniformly into buckets that fit in memory, by a seeded hash of their id, content and place in the input's
-files, so that copies of one row are scattered like any others. Pass two shuffles each bucket (Spark's shuffle() is a seeded
-Fisher-Yates shuffle of an array) and writes it. Prefix sums of the bucket sizes give every record its rank in the whole, and ranks are
+files, so that copies of one row are scattered like any others; each bucket is a partition of its own. Pass two shuffles each bucket
+(Spark's shuffle() is a seeded Fisher-Yates shuffle of an array) and writes it. Prefix sums of the bucket sizes give every record its rank in the whole, and ranks are
 cut into shards whose row counts differ by at most one (the law `rows`). A bucket lies in one shard or a few neighbours, so the second
 pass writes without another exchange. The number of buckets follows from the bytes alone, and where a record goes from the seed, the
 input's files and that number, not from settings of the session.
@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from terravane.llm.jobs import new_path, read_table, with_row_key
 
 SHARDS = 24
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 42, bucket_bytes: int = BUCKET_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -42,7 +42,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 4
     bases = sizes.withColumn("base", F.coalesce(F.sum("n").over(whole), F.lit(0))).withColumn("total", F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).drop("n")
 
     records = docs.select(bucket, draw.alias("draw"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("record"))
-    scattered = records.repartition(buckets, "bucket").sortWithinPartitions("bucket", "draw", F.col(f"record.`{doc_id}`"))
+    scattered = records.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "draw", F.col(f"record.`{doc_id}`"))
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
     shuffled = gathered.join(bases, "bucket").select("base", "total", F.shuffle("records", seed).alias("records"))
     ranked = shuffled.select("base", "total", F.posexplode("records").alias("pos", "record")).withColumn("rank", F.col("base") + F.col("pos"))
