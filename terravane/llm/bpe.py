@@ -174,6 +174,28 @@ class Slices:
         kind[long[np.isin(pair, [ord(a) * 128 + ord(b) for a, b in ("re", "ve", "ll")]) & (points[long + 2] < 128)]] = QUOTE_2
 
 
+#: Bytes of a long text whose arrays stand in memory at once.
+WINDOW = 1 << 20
+
+
+def windows(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in parts of about `size` bytes, cut between a visible ASCII character and a space or line feed: no pre-token spans such a place, and
+    those on either side don't depend on the other. Without one a part is longer."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        while end < len(text):
+            data = np.frombuffer(text[end - size : end + 1], np.uint8)
+            cuts = np.flatnonzero(((data[1:] == 0x20) | (data[1:] == 0x0A)) & (data[:-1] > 0x20) & (data[:-1] < 0x7F))
+            cuts = cuts[cuts + 1 + end - size > at]
+            if len(cuts):
+                end += int(cuts[-1]) + 1 - size
+                break
+            end += size
+        yield text[at : min(end, len(text))]
+        at = end
+
+
 NONE = np.int32(0x7FFFFFFF)
 
 
@@ -313,8 +335,11 @@ class Merger:
             out[i] = ids
         return out
 
-    def encode_all(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, one after the other, and the bounds of each text's."""
+    def encode_all(self, parts: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the bounds of each text's. A text alone is encoded window by window."""
+        if len(parts) == 1 and len(parts[0]) > window:
+            whole = np.concatenate([self.encode_all([part], len(part))[0] for part in windows(parts[0], window)])
+            return whole, np.array([0, len(whole)])
         cut = Slices(parts)
         ids, counts = self.cache.look_up(cut.data, cut.starts)
         return ids, np.concatenate([[0], np.cumsum(counts)])[cut.bounds]

@@ -59,3 +59,14 @@ def test_encode_and_decode_documents(docs_of):
     first = encoded.where("doc_id = 0").first()
     assert first.offsets[0] == 0 and len(first.offsets) == len(first.ids)
     assert bpe.round_trip(docs_of([]).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 10_000])
+def test_long_texts_by_windows(size):
+    m = bpe.merger()
+    for text in ("it's a test,  of\nwindows 12 é 日本 — 'll\t \n\n end " * 40, "日本語" * 300, "a" * 500, " " * 400, "x " * 300):
+        data = text.encode()
+        parts = list(bpe.windows(data, size))
+        assert b"".join(parts) == data and all(parts)
+        assert m.encode_all([data], size)[0].tolist() == m.encode_all([data], len(data))[0].tolist()
+    assert len(list(bpe.windows(b"x " * 300, 64))) > 5
