@@ -2,9 +2,12 @@ import re
 from collections import Counter
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from terravane.llm import quality
+from terravane.llm import textarrays as ta
 from terravane.llm.labelled import bounded
 
 from ..conftest import DATA
@@ -63,3 +66,32 @@ def test_sample_is_bounded_in_bytes(spark):
     found = bounded(sample, 200).collect()
     assert sum(len(r.text) for r in found) == 200
     assert bounded(sample, 5).count() == 0 and bounded(sample, 10**6).count() == 50
+
+
+def plain_grams(text):
+    """Bins and values of a text's features, gram by gram."""
+    u = np.uint64
+    lone = lambda b: ta.span_hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0]
+    words = [lone(w.encode()) for w in WORD.findall(text)]
+    chars = [lone(c.encode()) for c in text]
+    one = lambda x: ta.mix(np.array([x], u))[0]
+    with np.errstate(over="ignore"):
+        kinds = [[h * quality.ODD for h in words], [one(a * u(3) + b) for a, b in zip(words, words[1:])]]
+        kinds += [[one(sum((chars[i + k] * quality.GRAM_PLACES[k] for k in range(n)), u(0))) for i in range(len(chars) - n + 1)] for n in (3, 4)]
+    out = Counter()
+    for grams in kinds:
+        for g in grams:
+            out[int(g >> quality.TO_BIN)] += 1 / len(grams)
+    return out
+
+
+@given(st.lists(st.text("ab é日\n \t#\x00", max_size=14), min_size=1, max_size=5))
+@settings(max_examples=150, deadline=None)
+def test_features_and_scores_equal_brute_force(texts):
+    words = ta.Words([t.encode() for t in texts], lower=False, is_word=ta.NOT_SPACE)
+    grams = quality.Grams(words)
+    weights = np.random.default_rng(1).normal(size=1 << quality.BITS)
+    for text, (bins, values), score in zip(texts, grams.rows(len(texts)), grams.scores(weights)):
+        want = plain_grams(text)
+        assert dict(zip(bins.tolist(), np.round(values, 9).tolist())) == {b: round(v, 9) for b, v in want.items()}
+        assert abs(score - sum(weights[b] * v for b, v in want.items())) < 1e-9
