@@ -199,7 +199,7 @@ def _replaced(r: Region, tokens: int, m: Merger) -> TokenTree:
     return TokenTree.of([*tree.leaves[: r.first], *new.leaves, *tree.leaves[r.last + 1 :]], counts)
 
 
-TREE = "doc_id long, text_hash long, n_leaves int, byte_sums array<long>, token_sums array<long>"
+TREE = "doc_id long, text_hash long, n_leaves int, byte_sums array<int>, token_sums array<int>"
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -214,7 +214,7 @@ def build_trees(docs: DataFrame, text: str = "text", path: str = RANKS) -> DataF
         m = merger(path)
         for batch in ta.slices(batches):
             forest = trees(ta.pieces(batch.column(1)), m)
-            columns = [pa.array([len(t.leaves) for t in forest], pa.int32()), *[pa.array([t.sums[k] for t in forest], pa.list_(pa.int64())) for k in (0, 1)]]
+            columns = [pa.array([len(t.leaves) for t in forest], pa.int32()), *[pa.array([t.sums[k] for t in forest], pa.list_(pa.int32())) for k in (0, 1)]]
             yield pa.record_batch([batch.column(0), batch.column(2), *columns], names=["doc_id", "text_hash", "n_leaves", "byte_sums", "token_sums"])
 
     return stored(_keyed(docs, text).mapInArrow(run, TREE).dropDuplicates(["doc_id", "text_hash"]), "token_trees")
@@ -245,7 +245,7 @@ def apply_edits(docs: DataFrame, stored_trees: DataFrame, edits: DataFrame, text
                 again += edit_all(forest, now, m)
             texts = [t.text for t in forest]
             numbers = [[n for n, _ in before], [n for _, n in before], list(map(len, scripts)), [t.n_tokens for t in forest], [t.n_bytes for t in forest], list(map(zlib.crc32, texts)), again]
-            columns = [pa.array([len(t.leaves) for t in forest], pa.int32()), *[pa.array([t.sums[k] for t in forest], pa.list_(pa.int64())) for k in (0, 1)], *[pa.array(n, pa.int64()) for n in numbers], pa.array(texts, pa.binary()).cast(pa.string())]
+            columns = [pa.array([len(t.leaves) for t in forest], pa.int32()), *[pa.array([t.sums[k] for t in forest], pa.list_(pa.int32())) for k in (0, 1)], *[pa.array(n, pa.int64()) for n in numbers], pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.record_batch([batch.column(0), *columns], names=NAMES)
 
     edited = rows.mapInArrow(run, f"{EDITED}, text string")
