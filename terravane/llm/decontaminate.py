@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
-from terravane.llm.jobs import read_table, stored, with_columns_of, with_row_key
+from terravane.llm.jobs import dropped, read_table, stored, with_columns_of, with_row_key
 from terravane.llm.slicecache import spread
 
 WINDOW = 10
@@ -289,6 +289,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
     hit = search_all(index, benchmark, block_bytes).where("size(starts) > 0").select("segment", "slot").distinct()
     rows = index.select("segment", F.posexplode(F.arrays_zip("row_file", "row_at")).alias("slot", "d")).join(hit, ["segment", "slot"])
     dirty = stored(rows.select("d.row_file", "d.row_at").toDF(*names), "dirty")
+    dropped(index)
     return with_columns_of(keyed.join(dirty, names, "left_anti"), docs)
 
 

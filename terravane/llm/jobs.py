@@ -47,15 +47,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a table of `stored` that no plan needs any more."""
-    spark = df.sparkSession
-    folders = {str(PurePosixPath(f.partition(":")[2] or f).parent) for f in df.inputFiles()}
-    own = PurePosixPath(shared_dir(spark).partition(":")[2] or shared_dir(spark))
-    for folder in folders:
-        if "/" + str(PurePosixPath(folder).parent).lstrip("/") == "/" + str(own).lstrip("/"):
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{PurePosixPath(folder).name}")
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of tables of `stored` that no plan needs any more."""
+    for df in tables:
+        spark = df.sparkSession
+        own = PurePosixPath("/" + (shared_dir(spark).partition(":")[2] or shared_dir(spark)).lstrip("/"))
+        for folder in {PurePosixPath("/" + (f.partition(":")[2] or f).lstrip("/")).parent for f in df.inputFiles()}:
+            if folder.parent == own:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{folder.name}")
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from terravane.llm import textarrays as ta
 from terravane.llm.components import components
 from terravane.llm.dartminhash import signatures
-from terravane.llm.jobs import read_table, runs, stored, with_columns_of, with_row_key
+from terravane.llm.jobs import dropped, read_table, runs, stored, with_columns_of, with_row_key
 from terravane.llm.slicecache import spread
 
 BANDS, BAND_ROWS = 24, 4
@@ -232,7 +232,9 @@ def classified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     joined = components(more).select(F.col("node").alias("comp"), F.col("label").alias("whole"))
     classes = nodes.select("node", "n_copies").join(known, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     classes = classes.join(joined, "comp", "left").select("node", "n_copies", F.coalesce("whole", "comp").alias("label"))
-    return sketch.select("row_file", "row_at", "doc_id", "node"), stored(classes, "classes")
+    classes = stored(classes, "classes")
+    dropped(nodes, buckets, sets, links, comps, possible, more)
+    return sketch.select("row_file", "row_at", "doc_id", "node"), classes
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
