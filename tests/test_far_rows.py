@@ -35,3 +35,9 @@ def test_adjacency_rows_on_a_pole(spark, far):
     want = by_sql(far, "adjacency_rows")
     assert ("land", "p0011960", "p0012000") in want
     assert [tuple(r) for r in registry.queries()["adjacency_rows"](spark, far).collect()] == want
+
+
+def test_shared_borders_on_a_pole(spark, far):
+    got = {(r.a, r.b): r.km for r in registry.queries()["shared_borders"](spark, far).collect()}
+    want = {(a, b): km for a, b, km in by_sql(far, "shared_borders")}
+    assert got == pytest.approx(want, abs=2e-6) and want["p0011960", "p0012000"] == 0
