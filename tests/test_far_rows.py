@@ -41,3 +41,8 @@ def test_shared_borders_on_a_pole(spark, far):
     got = {(r.a, r.b): r.km for r in registry.queries()["shared_borders"](spark, far).collect()}
     want = {(a, b): km for a, b, km in by_sql(far, "shared_borders")}
     assert got == pytest.approx(want, abs=2e-6) and want["p0011960", "p0012000"] == 0
+
+
+def test_tile_cover_past_the_poles(spark, far):
+    got = sorted(tuple(r) for r in registry.queries()["tile_cover"](spark, far).collect())
+    assert got == sorted(by_sql(far, "tile_cover"))
