@@ -104,15 +104,17 @@ def feature_id(name: str) -> int:
 
 
 def encode_tiles(polygons: DataFrame, zooms: tuple[int, int], layer: str, props: list[str]) -> DataFrame:
-    """(tile_id, z, x, y, data) of polygons (id, ring and the columns props); data is gzip without a time stamp."""
+    """(tile_id, z, x, y, data) of polygons (id, ring and the columns props); data is gzip without a time stamp.
+    Beyond a pole there is no map, so polygons end there."""
     bounds = spatial.boxes(polygons)
     z = F.col("z")
     covered = spatial.tile_cover(bounds, zooms).join(bounds, "id")
     wide = (F.col("x2") - F.col("x1")) / 360 * F.pow(F.lit(2.0), z) * 256
-    tall = F.abs(F.asinh(F.tan(F.radians("y2"))) - F.asinh(F.tan(F.radians("y1")))) / (2 * geo.PI) * F.pow(F.lit(2.0), z) * 256
-    shown = covered.where((wide >= 2) | (tall >= 2))
+    high = lambda lat: geo.mercator(geo.on_globe(lat))
+    tall = (high(F.col("y2")) - high(F.col("y1"))) / (2 * geo.PI) * F.pow(F.lit(2.0), z) * 256
+    shown = covered.where(((wide >= 2) | (tall >= 2)) & (tall > 0))
     n = F.pow(F.lit(2.0), z)
-    px = F.transform("ring", lambda p: F.struct(F.bround(((p.x + 180) / 360 * n - F.col("x")) * EXTENT).cast("int").alias("x"), F.bround(((1 - F.asinh(F.tan(F.radians(p.y))) / geo.PI) / 2 * n - F.col("y")) * EXTENT).cast("int").alias("y")))
+    px = F.transform("ring", lambda p: F.struct(F.bround(((p.x + 180) / 360 * n - F.col("x")) * EXTENT).cast("long").alias("x"), F.bround(((1 - high(p.y) / geo.PI) / 2 * n - F.col("y")) * EXTENT).cast("long").alias("y")))
     rows = shown.select("z", "x", "y", "id", px.alias("px"), *props)
     window = kernel.pieces_of([(-BUFFER, -BUFFER), (EXTENT + BUFFER, -BUFFER), (EXTENT + BUFFER, EXTENT + BUFFER), (-BUFFER, EXTENT + BUFFER)])
     low, high = -BUFFER, EXTENT + BUFFER

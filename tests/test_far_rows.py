@@ -1,10 +1,15 @@
 """Queries on customers whose boxes lie at and beyond the poles, and on many rows, against their SQL or a plain version."""
 
+import math
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
+from terravane.functions import geo
+from terravane.operators import tiles
 from terravane.plans import registry
+from terravane.plans.views import view
 
 from .conftest import DATA
 
@@ -46,3 +51,18 @@ def test_shared_borders_on_a_pole(spark, far):
 def test_tile_cover_past_the_poles(spark, far):
     got = sorted(tuple(r) for r in registry.queries()["tile_cover"](spark, far).collect())
     assert got == sorted(by_sql(far, "tile_cover"))
+
+
+def test_tiles_end_at_the_poles(spark, far):
+    runs = registry.queries()["tile_archive"](spark, far).collect()
+    held = {i for r in runs for i in range(r.tile_id, r.tile_id + r.run)}
+    boxes = view(spark, far, "boxes").where("y2 < 85.0511").select("x1", "x2", "y1", "y2").collect()
+    row = lambda y: int((1 - math.asinh(math.tan(math.radians(y))) / math.pi) / 2 * 64)
+    middles = {(6, int(((b.x1 + b.x2) / 2 + 180) / 360 * 64), row((b.y1 + b.y2) / 2)) for b in boxes}
+    number = geo.hilbert_tile_id(F.col("z"), F.col("x"), F.col("y"))
+    got = {r[0] for r in spark.createDataFrame(sorted(middles), "z int, x long, y long").select(number).collect()}
+    assert got and got <= held
+    beyond = registry.grid(spark, far).where("n >= 12000")  # from the pole on
+    assert tiles.encode_tiles(beyond, (3, 6), "provinces", ["n"]).isEmpty()
+    south = spark.createDataFrame([("s", [{"x": float(x), "y": float(y)} for x, y in ((0, -95), (9, -95), (9, -80), (0, -80), (0, -95))])], "id string, ring array<struct<x:double,y:double>>")
+    assert {(r.x, r.y) for r in tiles.encode_tiles(south, (3, 3), "a", []).collect()} == {(4, 7)}
