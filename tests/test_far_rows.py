@@ -66,3 +66,30 @@ def test_tiles_end_at_the_poles(spark, far):
     assert tiles.encode_tiles(beyond, (3, 6), "provinces", ["n"]).isEmpty()
     south = spark.createDataFrame([("s", [{"x": float(x), "y": float(y)} for x, y in ((0, -95), (9, -95), (9, -80), (0, -80), (0, -95))])], "id string, ring array<struct<x:double,y:double>>")
     assert {(r.x, r.y) for r in tiles.encode_tiles(south, (3, 3), "a", []).collect()} == {(4, 7)}
+
+
+def test_deep_tiles_of_many_rows_in_time(spark, tmp_path):
+    import time
+
+    spark.range(100_000).select(F.col("id").alias("c_custkey")).write.parquet(str(tmp_path / "customer.parquet"))
+    began = time.time()
+    rows = registry.queries()["deep_tiles"](spark, str(tmp_path))
+    assert rows.where("z <> 31 or x <> c_custkey * 104729 % 2147483648 or y <> c_custkey * 1299709 % 2147483648").count() == 0
+    assert rows.count() == 100_000 and time.time() - began < 60
+
+
+def test_hilbert_numbers_of_all_zooms(spark):
+    def plain(z, x, y):
+        d = 0
+        for level in range(z - 1, -1, -1):
+            rx, ry = x >> level & 1, y >> level & 1
+            d += (3 * rx ^ ry) << 2 * level
+            x, y = x & (1 << level) - 1, y & (1 << level) - 1
+            if not ry:
+                x, y = ((1 << level) - 1 - y, (1 << level) - 1 - x) if rx else (y, x)
+        return (4**z - 1) // 3 + d
+
+    places = [(z, x % 2**z, y % 2**z) for z in range(32) for x, y in ((0, 0), (-1, -1), (-1, 0), (0, -1), (0x5A5A5A5A, 0x13579BDF), (0x7654321, 0x2468ACE))]
+    rows = spark.createDataFrame(places, "z int, x long, y long")
+    got = rows.select("z", "x", "y", geo.hilbert_tile_id(F.col("z"), F.col("x"), F.col("y")).alias("id")).select("*", geo.tile_of_hilbert(F.col("id")).alias("t")).collect()
+    assert [r.id for r in got] == [plain(*p) for p in places] and [tuple(r.t) for r in got] == places
