@@ -6,8 +6,8 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.functions import geo
-from terravane.operators import tiles
+from terravane.functions import geo, kernel
+from terravane.operators import overlay, tiles
 from terravane.plans import registry
 from terravane.plans.views import view
 
@@ -93,3 +93,15 @@ def test_hilbert_numbers_of_all_zooms(spark):
     rows = spark.createDataFrame(places, "z int, x long, y long")
     got = rows.select("z", "x", "y", geo.hilbert_tile_id(F.col("z"), F.col("x"), F.col("y")).alias("id")).select("*", geo.tile_of_hilbert(F.col("id")).alias("t")).collect()
     assert [r.id for r in got] == [plain(*p) for p in places] and [tuple(r.t) for r in got] == places
+
+
+def test_union_of_many_rings_in_time(spark):
+    import time
+
+    square = lambda x, y: F.array(*[F.struct((x + u).alias("x"), (y + v).alias("y")) for u, v in ((0.0, 0.0), (0.75, 0.0), (0.75, 0.75), (0.0, 0.75), (0.0, 0.0))])
+    n = F.col("id")
+    rows = spark.range(6000).select(n.cast("string").alias("id"), square((n % 60) * 0.5, F.floor(n / 60) * 0.5).alias("ring"), F.when(n % 2 == 0, "even").alias("g"))
+    began = time.time()
+    got = {r.g: (r.area, sum(map(lambda p: kernel.area([(q.x, q.y) for q in p]), r.pieces))) for r in overlay.union_by(rows.union(rows), "g").collect()}
+    assert time.time() - began < 60  # each with its neighbours, not with all of its group
+    assert got == {g: (pytest.approx(30 * 0.75 * 50.25), pytest.approx(30 * 0.75 * 50.25)) for g in ("even", None)}
