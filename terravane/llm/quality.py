@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravane.llm import textarrays as ta
-from terravane.llm.jobs import read_table, with_columns_of
+from terravane.llm.jobs import give_back, read_table, with_columns_of
 from terravane.llm.labelled import bounded, labelled_sample
 
 BITS = 18
@@ -77,7 +77,7 @@ class Grams:
             bins = [k[a[i] : max(a[i], min(b[i], len(k)))] for k, a, b in self.kinds]
             values = np.concatenate([np.full(len(x), 1 / max(1, len(x))) for x in bins])
             distinct, at = np.unique(np.concatenate(bins).astype(np.int64), return_inverse=True)
-            out.append((distinct, np.bincount(at, values, len(distinct))))
+            out.append((distinct.astype(np.int32), np.bincount(at, values, len(distinct))))
         return out
 
 
@@ -167,7 +167,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model
     if len(y) < 8 or min((y == 0).sum(), (y == 1).sum()) < 2:
         return None
     parts = ta.pieces(sample.column("text"))
-    return fit([row for i in range(0, len(parts), 64) for row in rows_of(parts[i : i + 64])], y)
+    model = fit([row for i in range(0, len(parts), 64) for row in rows_of(parts[i : i + 64])], y)
+    del sample, parts
+    give_back()
+    return model
 
 
 def judge(docs: DataFrame, model: Model | None, text: str = "text", keep_at: float = KEEP_AT) -> DataFrame:

@@ -95,3 +95,8 @@ def test_features_and_scores_equal_brute_force(texts):
         want = plain_grams(text)
         assert dict(zip(bins.tolist(), np.round(values, 9).tolist())) == {b: round(v, 9) for b, v in want.items()}
         assert abs(score - sum(weights[b] * v for b, v in want.items())) < 1e-9
+
+
+def test_features_of_the_sample_are_small():
+    bins, values = quality.rows_of([b"one two three two"])[0]
+    assert bins.dtype.itemsize == 4 and abs(values.sum() - 4) < 1e-9  # four kinds, each of weight one
