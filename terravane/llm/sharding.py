@@ -44,7 +44,8 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = 4
     records = docs.select(bucket, draw.alias("draw"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("record"))
     scattered = records.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "draw", F.col(f"record.`{doc_id}`"))
     gathered = scattered.groupBy("bucket").agg(F.collect_list("record").alias("records"))
-    shuffled = gathered.join(bases, "bucket").select("base", "total", F.shuffle("records", seed).alias("records"))
+    # broadcast by a hint, one row a partition: a plan that is free to choose may sort both sides, and then deals all records once more
+    shuffled = gathered.join(F.broadcast(bases), "bucket").select("base", "total", F.shuffle("records", seed).alias("records"))
     ranked = shuffled.select("base", "total", F.posexplode("records").alias("pos", "record")).withColumn("rank", F.col("base") + F.col("pos"))
     shard = F.expr(f"cast(rank * {shards} div total as int)")
     first = F.expr(f"(shard * total + {shards - 1}) div {shards}")

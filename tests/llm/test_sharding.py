@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from pyspark.sql import functions as F
@@ -50,3 +51,31 @@ def test_copies_are_scattered_and_settings_change_nothing(spark, docs_of):
     for n, shard, _ in places[0]:
         by.setdefault(shard, []).append(n)
     assert {len(v) for v in by.values()} == {800} and all(min(v) < 200 and max(v) > 3800 for v in by.values())
+
+
+def test_records_are_dealt_once(spark, docs_of):
+    """And to the same places, even where Spark doesn't broadcast by itself, as when it learns too late how few buckets there are."""
+    rng = random.Random(8)
+    texts = [rng.randbytes(5000).hex() for _ in range(400)]
+    docs = stored(docs_of(texts).coalesce(1), "dealt")
+    written, places = [], []
+    for threshold in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            before = {s.stageId() for s in _stages(spark)}
+            out = sharding.write_shards(docs, new_path(spark, "t"), shards=5, bucket_bytes=400_000)
+            written.append(sum(s.shuffleWriteBytes() for s in _stages(spark) if s.stageId() not in before))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        places.append(sorted((r.record.doc_id, r.record.text, r.shard, r.slot) for r in out.collect()))
+    assert [p[:2] for p in places[0]] == list(enumerate(texts)) and places[0] == places[1]
+    assert all(2_000_000 < n < 6_000_000 for n in written)  # 4 MB of hex digits, 2 MB at the very least
+
+
+def _stages(spark):
+    """All stages so far, with what they wrote."""
+    context, jvm = spark.sparkContext._jsc.sc(), spark._jvm
+    context.listenerBus().waitUntilEmpty()
+    quantiles = spark.sparkContext._gateway.new_array(jvm.double, 0)
+    found = context.statusStore().stageList(None, False, False, quantiles, jvm.java.util.ArrayList())
+    return [found.apply(i) for i in range(found.size())]
